@@ -63,7 +63,7 @@ COLUMNS = [
     ("cart_item_count", "CASE WHEN k >= 84 AND k < 92 THEN CAST(1 + k % 4 AS INT) END"),
     ("order_id", "CASE WHEN k >= 92 THEN 'ord_'||substr(h,1,12) END"),
     ("order_revenue_usd", "CASE WHEN k >= 92 THEN CAST(value + 1 AS DECIMAL(12,2)) END"),
-    ("order_shipping_usd", "CASE WHEN k >= 92 THEN CAST(value / 10 AS DECIMAL(12,2)) END"),
+    ("order_shipping_usd", "CASE WHEN k >= 92 THEN CAST(k % 10 AS DECIMAL(12,2)) END"),
     ("order_item_count", "CASE WHEN k >= 92 THEN CAST(1 + k % 3 AS INT) END"),
     ("ingested_at", "ts + (event_id % 20) * INTERVAL '1' MINUTE"),
 ]

@@ -11,7 +11,7 @@ SPACES = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 # The usual form, which Spark's own cast reads; anything else takes the long way.
 USUAL = (
     r"^(?!0000)\d{4}-\d\d-\d\d[T ]([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{1,6})?"
-    r"([+-](0\d|1[0-3]):[0-5]\d)?$"
+    r"(Z|[+-](0\d|1[0-3]):[0-5]\d)?$"
 )
 
 # Rewrites of other forms, one after the other, into the usual one. Any single
@@ -49,8 +49,9 @@ def parse_iso8601(text: Column) -> Column:
     Text without an offset is UTC; with one it is converted. Needs the session
     time zone to be UTC.
     """
-    trimmed = F.regexp_replace(strip(text), "[Zz]$", "+00:00")
-    return F.when(trimmed.rlike(USUAL), trimmed.try_cast("timestamp")).otherwise(_other(trimmed))
+    return F.when(text.rlike(USUAL), text.try_cast("timestamp")).otherwise(
+        _other(F.regexp_replace(strip(text), "[Zz]$", "+00:00"))
+    )
 
 
 def _other(text: Column) -> Column:

@@ -77,18 +77,18 @@ def assert_expression(df: DataFrame, expression: str) -> DataFrame:
 
 def _surplus(counts: DataFrame) -> DataFrame:
     """Copies beyond the first: three equal keys are two broken rows."""
-    return counts.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failing_rows"))
+    return counts.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("failing_rows"))
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Surplus rows per value; nulls are left to not_null."""
     keyed = df.where(F.col(column).isNotNull())
-    return _surplus(keyed.groupBy(column).agg(F.count("*").alias("n")))
+    return _surplus(keyed.groupBy(column).agg(F.count("*").alias("_copies")))
 
 
 def unique_combination(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Surplus rows per compound key; nulls count as equal."""
-    return _surplus(df.groupBy(*columns).agg(F.count("*").alias("n")))
+    return _surplus(df.groupBy(*columns).agg(F.count("*").alias("_copies")))
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
@@ -97,11 +97,11 @@ def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) ->
     children = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("_key"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("_copies"))
     )
     parents = parent.select(F.col(field).alias("_key"))
     orphans = children.join(parents, "_key", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failing_rows"))
+    return orphans.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("failing_rows"))
 
 
 # --- running a suite --------------------------------------------------------

@@ -33,20 +33,27 @@ def materialize_table(
 
     Readers keep the old table until the new one is complete. `bucket_by` lays the
     files out by those columns, so that later joins, groups and windows on them read
-    without a shuffle.
+    without a shuffle. A partitioned table is copied from the scratch one, because a
+    rename leaves the catalog's partition paths behind.
     """
     spark = df.sparkSession
     build = f"{name}__build"
     spark.sql(f"DROP TABLE IF EXISTS {build}")
     writer = df.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if partition_by and not spark.catalog.tableExists(name):
+        writer.partitionBy(*partition_by).saveAsTable(name)
+        return spark.table(name).count()
     if bucket_by:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*(sort_by or bucket_by))
     writer.saveAsTable(build)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {build} RENAME TO {name}")
+    if partition_by:
+        copy = spark.table(build).write.format("parquet").mode("overwrite")
+        copy.partitionBy(*partition_by).saveAsTable(name)
+        spark.sql(f"DROP TABLE {build}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE {build} RENAME TO {name}")
     return spark.table(name).count()
 
 
@@ -84,18 +91,26 @@ def upsert(
             touched = target.join(slice_.select(partition).distinct(), partition, "left_semi")
             build = f"{name}__build"
             materialize_table(merged(touched, slice_, keys), build)
-            (
-                spark.table(build)
-                .select(*target.columns)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .insertInto(name)
-            )
+            _overwrite_partitions(spark.table(build).select(*target.columns), name)
             spark.sql(f"DROP TABLE {build}")
     spark.sql(f"DROP TABLE {new}")
     return rows
 
 
+def _overwrite_partitions(df: DataFrame, name: str) -> None:
+    """Replace the partitions `df` has rows for and no others.
+
+    The mode is a session setting: the writer's option does not reach insertInto.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        conf.set(key, before)
+
+
 def _append(spark: SparkSession, name: str, row: dict, columns: str) -> None:
     spark.createDataFrame([row], columns).write.mode("append").saveAsTable(name)
 

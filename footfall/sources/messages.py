@@ -9,6 +9,9 @@ from footfall import schema
 from footfall.functions.keys import hyphenate
 from footfall.functions.timestamps import is_blank, parse_iso8601
 
+HEX_32 = "^[0-9a-f]{32}$"
+WITH_PRODUCT = ["product_view", "add_to_cart"]
+WITH_ORDER = ["purchase"]
 ENVELOPE = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
@@ -50,10 +53,19 @@ def _kind(text: Column) -> Column:
 
 
 def _uuid_hex(text: Column) -> Column:
-    """Hex digits of a UUID; a urn:uuid: prefix, braces and hyphens may be there."""
+    """The 32 hex digits of a UUID, null if it is none.
+
+    A urn:uuid: prefix, braces around it and hyphens anywhere are allowed.
+    """
+
+    def digits(t: Column) -> Column:
+        return F.lower(F.replace(t, F.lit("-"), F.lit("")))
+
+    bare = text
     for part in ("urn:", "uuid:"):
-        text = F.replace(text, F.lit(part), F.lit(""))
-    return F.lower(F.replace(F.regexp_replace(text, r"^[{}]+|[{}]+$", ""), F.lit("-"), F.lit("")))
+        bare = F.replace(bare, F.lit(part), F.lit(""))
+    bare = digits(F.regexp_replace(bare, r"^[{}]+|[{}]+$", ""))
+    return F.when(digits(text).rlike(HEX_32), digits(text)).when(bare.rlike(HEX_32), bare)
 
 
 def validate_events(messages: DataFrame) -> DataFrame:
@@ -77,6 +89,14 @@ def validate_events(messages: DataFrame) -> DataFrame:
     def field(path: str, kind: str = "string") -> Column:
         return F.try_variant_get("doc", f"$[0]{path}", kind)
 
+    def only_for(names: list[str], column: Column) -> Column:
+        return F.when(field(".event_name").isin(names), column)
+
+    def type_of(path: str) -> Column:
+        return F.schema_of_variant(field(path, "variant"))
+
+    product, order = ".product.product_id", ".order.order_id"
+    revenue = ".order.revenue_usd"
     fields = parsed.select(
         *columns,
         "text",
@@ -85,12 +105,12 @@ def validate_events(messages: DataFrame) -> DataFrame:
         field(".event_name").alias("name"),
         field(".anonymous_id").alias("visitor"),
         field(".occurred_at").alias("at"),
-        field(".product.product_id").alias("product"),
-        F.schema_of_variant(field(".product.product_id", "variant")).alias("product_type"),
-        field(".order.order_id").alias("order"),
-        F.schema_of_variant(field(".order.order_id", "variant")).alias("order_type"),
-        field(".order.revenue_usd").alias("revenue"),
-        F.schema_of_variant(field(".order.revenue_usd", "variant")).alias("revenue_type"),
+        only_for(WITH_PRODUCT, field(product)).alias("product"),
+        only_for(WITH_PRODUCT, type_of(product)).alias("product_type"),
+        only_for(WITH_ORDER, field(order)).alias("order"),
+        only_for(WITH_ORDER, type_of(order)).alias("order_type"),
+        only_for(WITH_ORDER, field(revenue)).alias("revenue"),
+        only_for(WITH_ORDER, type_of(revenue)).alias("revenue_type"),
     ).withColumns({"hex": _uuid_hex(F.col("id")), "instant": parse_iso8601(F.col("at"))})
 
     checked = fields.withColumn("error", _first_failure())
@@ -150,7 +170,7 @@ def _first_failure() -> Column:
         )
         .when(missing("id"), required("event_id"))
         .when(
-            ~F.col("hex").rlike("^[0-9a-f]{32}$"),
+            F.col("hex").isNull(),
             F.concat(F.lit("event_id is not a UUID: "), quoted(F.col("id"))),
         )
         .when(missing("visitor"), required("anonymous_id"))
@@ -160,15 +180,15 @@ def _first_failure() -> Column:
             F.concat(F.lit("occurred_at is not ISO-8601: "), quoted(F.col("at"))),
         )
         .when(
-            name.isin("product_view", "add_to_cart") & ~_given("product", "product_type"),
+            name.isin(WITH_PRODUCT) & ~_given("product", "product_type"),
             F.concat(name, needs),
         )
         .when(
-            (name == "purchase") & ~_given("order", "order_type"),
+            name.isin(WITH_ORDER) & ~_given("order", "order_type"),
             "purchase requires order.order_id",
         )
         .when(
-            (name == "purchase") & ~owed,
+            name.isin(WITH_ORDER) & ~owed,
             F.concat(F.lit("purchase requires a non-negative order.revenue_usd, got "), shown),
         )
     )

@@ -23,7 +23,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _value(value):
     if isinstance(value, float) and math.isnan(value):
         return None
-    return value
+    return tuple(value) if isinstance(value, list) else value
 
 
 def rows_of(columns: list[str], rows) -> Counter:
