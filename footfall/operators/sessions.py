@@ -37,7 +37,7 @@ def sessionize(
     timeout = F.lit(timeout_minutes * 60_000_000)
 
     numbered = _local_sessions(
-        add_slices(events, visitor, ts, hot_events, slice_events), timeout, visitor, ts, tie
+        add_slices(events, visitor, ts, tie, hot_events, slice_events), timeout, visitor, ts, tie
     )
     carry = _carried_sessions(sliced(numbered), timeout, visitor, ts)
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 HOT_VISITOR_EVENTS = 1_000_000
 SLICE_EVENTS = 1_000
@@ -20,6 +21,7 @@ SLICE_EVENTS = 1_000
 MAX_SLICED_VISITORS = 100_000
 
 SLICE = "visitor_slice"
+TIE_BYTES = 3
 
 
 def hot_visitors(
@@ -49,15 +51,26 @@ def add_slices(
     events: DataFrame,
     visitor: str,
     ts: str,
+    tie: str,
     hot_events: int = HOT_VISITOR_EVENTS,
     slice_events: int = SLICE_EVENTS,
 ) -> DataFrame:
-    """`events` with `visitor_slice`, null for ordinary visitors."""
+    """`events` with `visitor_slice`, null for ordinary visitors.
+
+    Slices follow the order (ts, tie). Where a slice is one microsecond wide, as for
+    a visitor whose events all carry one time, it is split on by the first characters
+    of a text `tie`.
+    """
     hot = hot_visitors(events, visitor, ts, hot_events, slice_events)
     offset = F.unix_micros(ts) - F.col("slice_origin")
+    by_time = F.call_function("div", offset, F.col("slice_width"))
+    by_tie = F.lit(0)
+    if isinstance(events.schema[tie].dataType, StringType):
+        first = F.rpad(F.substring(F.hex(tie), 1, 2 * TIE_BYTES), 2 * TIE_BYTES, "0")
+        by_tie = F.when(F.col("slice_width") == 1, F.conv(first, 16, 10).cast("bigint"))
     return (
         events.join(F.broadcast(hot), visitor, "left")
-        .withColumn(SLICE, F.call_function("div", offset, F.col("slice_width")))
+        .withColumn(SLICE, by_time * 256**TIE_BYTES + F.coalesce(by_tie, F.lit(0)))
         .drop("slice_origin", "slice_width")
     )
 

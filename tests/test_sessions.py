@@ -108,6 +108,19 @@ def test_slices_do_not_change_sessions(spark, sf_dir, minutes, slice_events):
     assert sliced.where(F.col("anonymous_id") == "crawler").select(SLICE).distinct().count() > 1
 
 
+def test_events_of_one_time_are_sliced_by_id(spark, sf_dir):
+    stg = (
+        skewed(spark, sf_dir)
+        .where(F.col("anonymous_id") == "crawler")
+        .withColumn("occurred_at", F.lit(START))
+        .select("event_id", "anonymous_id", "occurred_at")
+    )
+    sliced = sessionize(stg, 30, hot_events=20, slice_events=5)
+    found = {r.event_id: (r.session_started_at, r.event_seq_in_session) for r in sliced.collect()}
+    assert found == plain_sessions(stg.collect(), 30)
+    assert sliced.select(SLICE).distinct().count() > 100
+
+
 def same(one, other):
     return rows_of(one.columns, one.collect()) == rows_of(other.columns, other.collect())
 
