@@ -85,13 +85,20 @@ def dim_page(stg: DataFrame) -> DataFrame:
         )
     )
     visitor = F.col("kind") == "anonymous_id"
+    # all visitors of a page into one row, before the labels are compared
+    labels = counts.groupBy("page_path", "kind", F.when(~visitor, F.col("value")).alias("value")).agg(
+        F.sum("n").alias("n"),
+        F.count("value").alias("values"),
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+    )
     return (
-        counts.groupBy("page_path")
+        labels.groupBy("page_path")
         .agg(
             _mode("page_title").alias("page_title"),
             _mode("page_type").alias("page_type"),
             F.sum(F.when(visitor, F.col("n"))).alias("lifetime_page_views"),
-            F.count_if(visitor).alias("lifetime_visitors"),
+            F.sum(F.when(visitor, F.col("values"))).alias("lifetime_visitors"),
             F.min("first_at").alias("first_seen_at"),
             F.max("last_at").alias("last_seen_at"),
         )

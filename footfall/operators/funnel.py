@@ -93,6 +93,7 @@ def funnel_reach(funnel: DataFrame) -> DataFrame:
     Each funnel row is its own session, as (session_id, step_index) is unique. Rows
     are first combined per visitor, which leaves the grouping sets little to expand.
     """
+    channel, step = F.col("channel"), [F.col("step_index"), F.col("step_name")]
     visitors = funnel.groupBy("channel", "step_index", "step_name", "anonymous_id").agg(
         F.count("*").alias("sessions"),
         F.count_if("is_final_step").alias("stopped"),
@@ -101,13 +102,12 @@ def funnel_reach(funnel: DataFrame) -> DataFrame:
     )
     return (
         visitors.groupingSets(
-            [[F.col("channel"), F.col("step_index")], [F.col("step_index")]],
-            F.col("channel"),
-            F.col("step_index"),
+            [[channel, *step], step],
+            channel,
+            *step,
         )
         .agg(
             F.grouping("channel").alias("total"),
-            F.min("step_name").alias("step_name"),
             F.sum("sessions").alias("sessions_reached"),
             F.count_distinct("anonymous_id").alias("visitors_reached"),
             F.sum("stopped").alias("sessions_stopped_here"),

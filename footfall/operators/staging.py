@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from footfall import schema
 
+INGEST_DATE = "ingest_date"
+
 
 def _text(path: str) -> Column:
     """A payload field as text, empty text as null."""
@@ -62,14 +64,18 @@ def incremental_slice(
 
     Writers commit out of order, so the newest minutes are read again; the keyed
     upsert that follows makes the repeat harmless. The one-row watermark is read
-    first and pushed into the scan as a constant, so Parquet skips old row groups.
-    With no target, or an empty one, everything is read.
+    first and pushed into the scan as a constant, so Parquet skips old row groups,
+    and old partitions too where `raw` is partitioned by ingest_date. With no target,
+    or an empty one, everything is read.
     """
     newest = target.select(F.max("ingested_at").alias("t")).first()["t"] if target is not None else None
     if newest is None:
         return raw
     floor = F.lit(newest) - F.make_dt_interval(mins=F.lit(overlap_minutes))
-    return raw.where(F.col("ingested_at") >= floor)
+    recent = F.col("ingested_at") >= floor
+    if INGEST_DATE in raw.columns:
+        recent = recent & (F.col(INGEST_DATE) >= F.to_date(floor))
+    return raw.where(recent)
 
 
 def event_name_counts(events: DataFrame) -> DataFrame:

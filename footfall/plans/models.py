@@ -15,13 +15,14 @@ from footfall.operators.pageviews import fct_page_views
 from footfall.operators.quality import Suite
 from footfall.operators.sessions import bridge, fct_sessions, sessionize
 from footfall.operators.slices import SLICE
-from footfall.operators.staging import flatten_events, incremental_slice
+from footfall.operators.staging import INGEST_DATE, flatten_events, incremental_slice
 from footfall.operators.traffic import daily_traffic
 from footfall.plans import warehouse
 from footfall.plans.checks import CHECKS
 
 # Events with their session columns, stored once for all that need them.
 WIDE = "stg.sessionized_events"
+STAGED = "stg.stg_events"
 
 
 def marts(
@@ -53,13 +54,26 @@ def marts(
     }
 
 
+def newest_partition(spark: SparkSession) -> DataFrame:
+    """Staged events of the latest ingest date, which hold the newest of all.
+
+    The date comes from the catalog's list of partitions, one entry per day.
+    """
+    stored = spark.table(STAGED)
+    days = [r[0].split("=")[1] for r in spark.sql(f"SHOW PARTITIONS {STAGED}").collect()]
+    return stored.where(F.col(INGEST_DATE) == max(days)) if days else stored
+
+
 def build_models(
     spark: SparkSession,
     timeout_minutes: int = schema.SESSION_TIMEOUT_MINUTES,
     steps: list[str] = schema.FUNNEL_STEPS,
     full_refresh: bool = False,
+    raw: DataFrame | None = None,
 ) -> str:
-    """Bring all tables up to date from raw.events; returns the run id in the log.
+    """Bring all tables up to date from `raw`; returns the run id in the log.
+
+    `raw` holds the landed events, by default the table raw.events.
 
     Staging is incremental. Sessions and what follows are rebuilt, because a late
     event can extend or join older sessions. A model that fails is logged and what
@@ -87,17 +101,17 @@ def build_models(
         attempt(name, "table", needs, lambda: warehouse.materialize_table(df(), f"mart.{name}"))
 
     def staging() -> int:
-        stored = "stg.stg_events"
-        fresh = full_refresh or not spark.catalog.tableExists(stored)
-        raw = incremental_slice(spark.table("raw.events"), None if fresh else spark.table(stored))
-        rows = flatten_events(raw).withColumn("ingest_date", F.to_date("ingested_at"))
-        return warehouse.upsert(rows, stored, ["event_id"], full_refresh, partition="ingest_date")
+        landed = spark.table("raw.events") if raw is None else raw
+        fresh = full_refresh or not spark.catalog.tableExists(STAGED)
+        slice_ = incremental_slice(landed, None if fresh else newest_partition(spark))
+        rows = flatten_events(slice_).withColumn(INGEST_DATE, F.to_date("ingested_at"))
+        return warehouse.upsert(rows, STAGED, ["event_id"], full_refresh, partition=INGEST_DATE)
 
     def sessions_bridge() -> int:
         # written in the layout the page views and sessions read: no second shuffle
         layout = ["anonymous_id", SLICE]
         warehouse.materialize_table(
-            sessionize(stg().drop("ingest_date"), timeout_minutes),
+            sessionize(stg().drop(INGEST_DATE), timeout_minutes),
             WIDE,
             bucket_by=layout,
             sort_by=[*layout, "occurred_at", "event_id"],
@@ -109,7 +123,7 @@ def build_models(
         return spark.table(WIDE).count()
 
     def stg() -> DataFrame:
-        return spark.table("stg.stg_events")
+        return spark.table(STAGED)
 
     def wide() -> DataFrame:
         return spark.table(WIDE)
