@@ -75,7 +75,7 @@ CTES: dict[str, str] = {
            f"FROM ({adapter.staged_sql(DUCK, kept=True)})",
     "msg": adapter.messages_sql(DUCK),
     "delivered": f"""
-SELECT kafka_partition, kafka_offset, anonymous_id AS sent_by, sent, bad_bytes, batch_id FROM msg
+SELECT CAST(kafka_partition AS BIGINT) AS kafka_partition, kafka_offset, anonymous_id AS sent_by, sent, bad_bytes, batch_id FROM msg
 UNION ALL
 SELECT kafka_partition, kafka_offset + {adapter.REDELIVERY_OFFSET}, anonymous_id, sent, bad_bytes, batch_id + 1
 FROM msg WHERE event_type = 'view'""",
