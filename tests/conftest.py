@@ -33,3 +33,13 @@ def spark(tmp_path_factory):
 
     yield configure(session)
     session.stop()
+
+
+@pytest.fixture(scope="module")
+def databases(spark):
+    """Empty databases for the stored tables of one test module."""
+    from footfall.plans import warehouse
+
+    for name in ("raw", "stg", "mart", "meta"):
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    warehouse.create_databases(spark)

@@ -9,9 +9,7 @@ from footfall.sources.log import read_event_stream
 from footfall.streaming.ingest import RawStore
 
 
-def test_pipeline(spark, sf_dir, tmp_path):
-    for table in ("stg.stg_events", "stg.sessionized_events"):
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+def test_pipeline(spark, databases, sf_dir, tmp_path):
     sent = adapter.messages(spark, sf_dir, redelivered=True).select(
         F.col("kafka_topic").alias("topic"),
         F.col("kafka_partition").alias("partition"),

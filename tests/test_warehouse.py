@@ -11,11 +11,6 @@ from footfall.operators import reports
 from footfall.plans import models, warehouse
 
 
-@pytest.fixture(scope="module")
-def databases(spark):
-    warehouse.create_databases(spark)
-
-
 def table(spark, rows, columns="k INT, v STRING, p INT"):
     return spark.createDataFrame(rows, columns)
 
