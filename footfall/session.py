@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,15 +29,34 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder the cluster names in spark.checkpoint.dir.
 
-    Only when that setting is empty (as in tests) is a local folder made and used.
+    Where that setting is empty, a session with local[...] as its master gets a folder of its own,
+    since driver and tasks share one machine; on a cluster it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="footfall-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/footfall/{uuid.uuid4()}/{name}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        zipped = f"{tempfile.mkdtemp(prefix='footfall-')}/{package.name}.zip"
+        with zipfile.ZipFile(zipped, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(zipped)
+        _shipped.add(context.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet in the shared scratch folder and read it back.
 
