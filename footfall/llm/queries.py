@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontaminate, simhash
+from footfall.llm import decontaminate, frames, pieces, simhash
 from footfall.session import ship
 
 
@@ -16,6 +17,19 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact SentencePiece ids of all texts, and the texts decoded from them."""
+    coded = pieces.encode_documents(
+        _read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op4_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words in documents."""
     found = decontaminate.find_benchmark(
@@ -36,6 +50,13 @@ def op5_segment_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op7_zstd_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids read back from seekable compressed files."""
+    return frames.encoded_and_read(
+        _read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    ).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +70,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: _query(f)
         for f in (
+            op3_piece_backtracking,
             op4_wu_manber,
             op5_segment_popcount,
+            op7_zstd_frames,
         )
     }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import xxhash
 
@@ -73,3 +74,29 @@ def near_duplicates(documents: list[tuple]) -> list[tuple]:
     prints = {doc: simhash(text) for doc, text in documents}
     tied = components(sorted(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
     return [(doc, f"{prints[doc]:016x}", tied[doc]) for doc, _ in documents]
+
+
+def piece_ids(documents: list[tuple], model_path: str) -> list[tuple]:
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    out = []
+    for doc, text in documents:
+        ids = lib.encode(text or "")
+        listed, decoded = ",".join(map(str, ids)).encode(), lib.decode(ids).encode()
+        out.append(
+            (doc, len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(decoded).hexdigest())
+        )
+    return out
+
+
+def token_ids(documents: list[tuple], tokenizer_path: str) -> list[tuple]:
+    from tokenizers import Tokenizer
+
+    lib, start, out = Tokenizer.from_file(tokenizer_path), 0, []
+    for doc, text in sorted(documents):
+        ids = [*lib.encode(text or "", add_special_tokens=False).ids, 2]
+        raw = b"".join(i.to_bytes(4, "little") for i in ids)
+        out.append((doc, start, len(ids), zlib.crc32(raw)))
+        start += len(ids)
+    return out
