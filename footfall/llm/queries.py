@@ -6,10 +6,10 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontaminate, frames, pieces, simhash
+from footfall.llm import decontaminate, frames, languages, pieces, quality, simhash
 from footfall.session import ship
 
 
@@ -50,6 +50,48 @@ def op5_segment_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def _fifth(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 5; null for a null id."""
+    return F.crc32(F.col(doc_id).cast("string")) % 5
+
+
+QUALITY_THRESHOLD = 0.3
+
+
+def quality_model(documents: DataFrame, labels: DataFrame) -> quality.Model:
+    """Fitted on labelled documents outside the held-out fifth."""
+    labelled = labels.select("doc_id", F.col("quality").alias("label"))
+    return quality.fit(
+        documents.select("doc_id", "text").where(_fifth() != 0).join(labelled, "doc_id")
+    )
+
+
+def op6_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of documents."""
+    documents = _read(spark, sf_dir, "documents")
+    model = quality_model(documents, _read(spark, sf_dir, "labels"))
+    return quality.score_documents(documents, model).select(
+        "doc_id",
+        F.coalesce(_fifth() == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of documents."""
+    documents = _read(spark, sf_dir, "documents")
+    model = languages.learn(documents.where(_fifth() != 0))
+    return languages.identify(documents, model).select(
+        "doc_id",
+        F.coalesce(_fifth() == 0, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+        "languages",
+        "proportions",
+    )
+
+
 def op7_zstd_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids read back from seekable compressed files."""
     return frames.encoded_and_read(
@@ -73,7 +115,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_piece_backtracking,
             op4_wu_manber,
             op5_segment_popcount,
+            op6_neighbour_votes,
             op7_zstd_frames,
+            op10_language_mixture,
         )
     }
 

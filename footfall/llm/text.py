@@ -15,7 +15,7 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 21
 
 
-def _table(separators: list[range]) -> np.ndarray:
+def table(separators: list[range]) -> np.ndarray:
     out = np.zeros(256, bool)
     for r in separators:
         out[list(r)] = True
@@ -24,9 +24,9 @@ def _table(separators: list[range]) -> np.ndarray:
 
 # --- fixed values: the bytes that separate words --------------------------------------------
 #: [^\x20\x09-\x0D]+
-WHITE = _table([range(0x20, 0x21), range(0x09, 0x0E)])
+WHITE = table([range(0x20, 0x21), range(0x09, 0x0E)])
 #: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
-NOT_ALNUM = _table([range(0x00, 0x30), range(0x3A, 0x61), range(0x7B, 0x80)])
+NOT_ALNUM = table([range(0x00, 0x30), range(0x3A, 0x61), range(0x7B, 0x80)])
 # --- end of fixed values --------------------------------------------------------------------
 
 LOWER = np.arange(256, dtype=np.uint8)
