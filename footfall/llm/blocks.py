@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def block_pairs(df: DataFrame, key: str, spread: str, size: int) -> DataFrame:
-    """Rows of keys that occur twice or more, with two more columns, part_a and part_b.
+    """Rows of keys that occur twice or more, with columns part_a, part_b and part, their own part.
 
     A key with up to `size` rows is one group (0, 0). The rows of a larger one are dealt by a hash
     of `spread` to n parts of about that size, and each row goes to the n groups that its part
@@ -23,11 +23,11 @@ def block_pairs(df: DataFrame, key: str, spread: str, size: int) -> DataFrame:
     return (
         df.join(many, key)
         .withColumn("_parts", parts)
-        .withColumn("_mine", mine)
+        .withColumn("part", mine)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .withColumn("part_a", F.least("_mine", "_other"))
-        .withColumn("part_b", F.greatest("_mine", "_other"))
-        .drop("_rows", "_parts", "_mine", "_other")
+        .withColumn("part_a", F.least("part", "_other"))
+        .withColumn("part_b", F.greatest("part", "_other"))
+        .drop("_rows", "_parts", "_other")
     )
 
 

@@ -9,7 +9,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import decontaminate, frames, languages, pieces, quality, simhash
+from footfall.llm import (
+    decontaminate,
+    frames,
+    languages,
+    pieces,
+    quality,
+    shards,
+    simhash,
+    vectors,
+)
 from footfall.session import ship
 
 
@@ -17,6 +26,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_pstable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors."""
+    return vectors.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_piece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact SentencePiece ids of all texts, and the texts decoded from them."""
     coded = pieces.encode_documents(
@@ -99,6 +113,19 @@ def op7_zstd_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in eight shards of nearly equal bytes."""
+    return shards.shard_by_bytes(_read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,11 +139,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: _query(f)
         for f in (
+            op2_pstable_hashing,
             op3_piece_backtracking,
             op4_wu_manber,
             op5_segment_popcount,
             op6_neighbour_votes,
             op7_zstd_frames,
+            op9_karmarkar_karp,
             op10_language_mixture,
         )
     }

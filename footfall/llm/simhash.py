@@ -227,8 +227,12 @@ def near_duplicates(
         .agg(F.min("least").alias("component_id"))
     )
     linked = tied.join(smallest, "component").select(F.col("node").alias("fp"), "component_id")
-    known = nodes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
+    # written first, so that the join below reads two plain shuffles and can split a hot fingerprint
+    known = stage(
+        nodes.join(linked, "fp", "left").select(
+            "fp", F.coalesce("component_id", "least").alias("component_id")
+        ),
+        "known",
     )
     return prints.join(known, "fp").select(
         "doc_id",
