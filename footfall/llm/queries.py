@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
+    brown,
     decontaminate,
     frames,
     languages,
@@ -26,6 +27,26 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fifth(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 5; a null id is an empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5
+
+
+def op1_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based language model scores of all texts."""
+    documents = _read(spark, sf_dir, "documents")
+    model = brown.fit(documents.where(_fifth() != 1))
+    return brown.score(documents, model).select(
+        "doc_id",
+        (_fifth() == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op2_pstable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors."""
     return vectors.near_vectors(_read(spark, sf_dir, "embeddings"))
@@ -64,11 +85,6 @@ def op5_segment_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-def _fifth(doc_id: str = "doc_id") -> Column:
-    """crc32 of the id as text, modulo 5; null for a null id."""
-    return F.crc32(F.col(doc_id).cast("string")) % 5
-
-
 QUALITY_THRESHOLD = 0.3
 
 
@@ -86,7 +102,7 @@ def op6_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_model(documents, _read(spark, sf_dir, "labels"))
     return quality.score_documents(documents, model).select(
         "doc_id",
-        F.coalesce(_fifth() == 0, F.lit(False)).alias("held_out"),
+        (_fifth() == 0).alias("held_out"),
         "score",
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
     )
@@ -98,7 +114,7 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = languages.learn(documents.where(_fifth() != 0))
     return languages.identify(documents, model).select(
         "doc_id",
-        F.coalesce(_fifth() == 0, F.lit(False)).alias("held_out"),
+        (_fifth() == 0).alias("held_out"),
         "lang_pred",
         "score",
         "languages",
@@ -139,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: _query(f)
         for f in (
+            op1_brown_classes,
             op2_pstable_hashing,
             op3_piece_backtracking,
             op4_wu_manber,

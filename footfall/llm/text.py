@@ -155,6 +155,12 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
 
 def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of values over the words of each text."""
-    sums = np.zeros(len(values) + 1, values.dtype if values.dtype.kind == "f" else np.int64)
+    if values.dtype.kind == "f":  # added up for each text apart, so that no digits are lost
+        out = np.zeros(len(first) - 1)
+        some = first[1:] > first[:-1]
+        if some.any():
+            out[some] = np.add.reduceat(values, first[:-1][some])
+        return out
+    sums = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[first[1:]] - sums[first[:-1]]
