@@ -14,6 +14,7 @@ from footfall.llm import (
     decontaminate,
     frames,
     languages,
+    licenses,
     pieces,
     quality,
     shards,
@@ -129,6 +130,17 @@ def op7_zstd_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in documents."""
+    documents = _read(spark, sf_dir, "documents")
+    return licenses.licences(documents, licenses.fit(documents)).select(
+        "doc_id",
+        F.array_join("families", ",").alias("families"),
+        F.col("n_notices").cast("bigint").alias("n_notices"),
+        "probability",
+    )
+
+
 def op9_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in eight shards of nearly equal bytes."""
     return shards.shard_by_bytes(_read(spark, sf_dir, "documents")).select(
@@ -162,6 +174,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op5_segment_popcount,
             op6_neighbour_votes,
             op7_zstd_frames,
+            op8_licence_paragraphs,
             op9_karmarkar_karp,
             op10_language_mixture,
         )
