@@ -103,7 +103,7 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.chunks(batch, "_body", 8 * T.CHUNK_BYTES):
+            for part in T.chunks(batch, "_body"):
                 found = T.words(part.column("_body"), T.WHITE)
                 _, first, n = np.unique(found.hashes(), return_index=True, return_counts=True)
                 word = pa.concat_arrays([found.strings(first), pa.nulls(1, pa.string())])
@@ -451,14 +451,15 @@ def score(
                     names=[*names, "n_tokens", "n_known", "base_score", "score", "asked"],
                 )
 
-    kept = "".join(
-        f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema if f.name in names
-    )
     part = stage(
         chosen.mapInArrow(
             work,
-            kept + "n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE, "
-            "asked ARRAY<STRUCT<word: STRING, n: BIGINT>>",
+            T.schema(
+                chosen,
+                names,
+                "n_tokens BIGINT, n_known BIGINT, base_score DOUBLE, score DOUBLE, "
+                "asked ARRAY<STRUCT<word: STRING, n: BIGINT>>",
+            ),
         ).withColumn("_row", F.monotonically_increasing_id()),
         "scored",
     )

@@ -234,10 +234,7 @@ def scan(chosen: DataFrame, tables: Broadcast) -> DataFrame:
                     names=[*names, "_digest", "n_words", "n_hit", "hit_words", "items"],
                 )
 
-    kept = "".join(
-        f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema if f.name != "_body"
-    )
-    return chosen.mapInArrow(search, kept + HITS)
+    return chosen.mapInArrow(search, T.schema(chosen, [*names, "_digest"], HITS))
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:

@@ -238,11 +238,12 @@ def identify(
                 names=[*names, "lang_pred", "score", "languages", "proportions"],
             )
 
-    kept = "".join(
-        f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema if f.name in names
-    )
     return chosen.mapInArrow(
         work,
-        kept + "lang_pred STRING, score DOUBLE, languages ARRAY<STRING>, proportions ARRAY<DOUBLE>",
+        T.schema(
+            chosen,
+            names,
+            "lang_pred STRING, score DOUBLE, languages ARRAY<STRING>, proportions ARRAY<DOUBLE>",
+        ),
     )
 

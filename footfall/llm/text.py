@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # Bytes of text handled at once. A longer text is handled alone, and always whole.
 CHUNK_BYTES = 1 << 21
@@ -164,3 +166,9 @@ def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=sums[1:])
     return sums[first[1:]] - sums[first[:-1]]
+
+
+def schema(df: DataFrame, names: list[str], more: str) -> StructType:
+    """The named columns of df as they are, then further ones."""
+    own = {f.name: f for f in df.schema}
+    return StructType([*(own[n] for n in names), *StructType.fromDDL(more)])
