@@ -167,21 +167,26 @@ def _linked(nodes: DataFrame, cosine: float, setup: tuple, block_rows: int) -> D
             copies = held.column("copies").to_numpy()
             nth, own = held.column("table").to_numpy(), held.column("part").to_numpy()
             a, b = held.column("part_a").to_numpy(), held.column("part_b").to_numpy()
-            (dimensions, (_, unit)), *other = unit_rows(held.column("v")).items()
-            if other:  # keys hold the length, so only a collision of keys mixes lengths
-                raise ValueError("vectors of different length in one bucket")
-            hashes = made.setdefault(dimensions, Hashes(dimensions, *setup))
+            units = unit_rows(held.column("v"))
+            size_of, place = np.zeros((2, held.num_rows), np.int64)
+            for dimensions, (rows, _) in units.items():
+                size_of[rows], place[rows] = dimensions, np.arange(len(rows))
             who, links, root = [], [], []
             for at, n in zip(starts, sizes, strict=True):
                 mine = slice(at, at + n)
-                near = unit[mine] @ unit[mine].T >= cosine
+                dimensions = size_of[at]  # keys hold the length, so it is the same in a bucket
+                if (size_of[mine] != dimensions).any():
+                    raise ValueError("vectors of different length have one key")
+                unit = units[dimensions][1][place[mine]]
+                near = unit @ unit.T >= cosine
                 np.fill_diagonal(near, False)
                 if a[at] != b[at]:
                     near &= own[mine][:, None] != own[mine][None]
                 if not near.any():
                     continue
                 i, j = np.nonzero(np.triu(near))
-                keep = _first_met(hashes, unit[mine], i, j, int(nth[at]))
+                hashes = made.setdefault(dimensions, Hashes(int(dimensions), *setup))
+                keep = _first_met(hashes, unit, i, j, int(nth[at]))
                 i, j, c = i[keep], j[keep], copies[mine]
                 linked = np.bincount(i, c[j], n) + np.bincount(j, c[i], n)
                 some = np.flatnonzero(near.any(axis=1))
