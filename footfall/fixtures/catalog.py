@@ -85,11 +85,6 @@ def _judged(spark: SparkSession, d: str) -> DataFrame:
     return messages.validate_events(late)
 
 
-def _reason(df: DataFrame) -> DataFrame:
-    """Without the offending amount, which engines print differently."""
-    return df.withColumn("error", F.split("error", ", got -|, got '|, got None")[0])
-
-
 def _winners(spark: SparkSession, d: str) -> DataFrame:
     return messages.first_offset(
         messages.valid_events(_judged(spark, d).where(F.col("error").isNull()))
@@ -100,11 +95,11 @@ def _winners(spark: SparkSession, d: str) -> DataFrame:
 
 
 def validate_events(spark: SparkSession, d: str) -> DataFrame:
-    return _reason(_judged(spark, d)).select("kafka_partition", "kafka_offset", "error", *EVENT)
+    return _judged(spark, d).select("kafka_partition", "kafka_offset", "error", *EVENT)
 
 
 def dead_letters(spark: SparkSession, d: str) -> DataFrame:
-    return _reason(messages.dead_letters(_judged(spark, d))).drop("dead_letter_id", "kafka_topic")
+    return messages.dead_letters(_judged(spark, d)).drop("dead_letter_id", "kafka_topic")
 
 
 def clean_reject_text(spark: SparkSession, d: str) -> DataFrame:
@@ -113,6 +108,7 @@ def clean_reject_text(spark: SparkSession, d: str) -> DataFrame:
         "doc_id",
         messages.clean_text(raw).alias("message_value"),
         messages.clean_text(raw, schema.REJECT_KEY_CHARS).alias("message_key"),
+        messages.clean_text(raw, schema.REJECT_VALUE_CHARS).alias("limited_value"),
     )
 
 

@@ -106,7 +106,8 @@ SELECT *, CASE WHEN bad_bytes THEN 'message value is not UTF-8'
  WHEN p_name = 'purchase' AND coalesce(p_order,'') = '' THEN 'purchase requires order.order_id'
  WHEN p_name = 'purchase' AND (p_revenue_type IS NULL OR p_revenue_type = 'VARCHAR'
       OR try_cast(p_revenue AS DOUBLE) < 0)
-   THEN 'purchase requires a non-negative order.revenue_usd'
+   THEN 'purchase requires a non-negative order.revenue_usd, got '||CASE p_revenue_type
+     WHEN 'VARCHAR' THEN ||p_revenue|| ELSE coalesce(p_revenue, 'None') END
  END AS error FROM parsed""",
     "winners": """
 SELECT CAST(p_uuid AS VARCHAR) AS event_id, p_name AS event_name, p_visitor AS anonymous_id, p_ts AS occurred_at,
@@ -137,7 +138,7 @@ FROM (SELECT session_id, min(anonymous_id) AS anonymous_id, min(session_started_
   bool_or(event_name = 'checkout_start') AS started_checkout, bool_or(event_name = 'purchase') AS purchased,
   count(DISTINCT product_id) FILTER (WHERE event_name = 'product_view') AS products_viewed,
   count(DISTINCT order_id) AS orders,
-  CAST(coalesce(sum(order_revenue_usd),0) AS DECIMAL(12,2)) AS revenue_usd,
+  CAST(coalesce(sum(order_revenue_usd),0) AS DECIMAL(28,2)) AS revenue_usd,
   {_first("user_id", "user_id IS NOT NULL", "event_seq_in_session DESC")} AS user_id,
   {_picked(CONTEXT)},
   {_first("referrer", "referrer IS NOT NULL")} AS landing_referrer,
@@ -160,7 +161,7 @@ SELECT {_uuid("anonymous_id")} AS visitor_key, anonymous_id,
   bool_or(user_id IS NOT NULL) AS is_identified, min(occurred_at) AS first_seen_at, max(occurred_at) AS last_seen_at,
   count(*) AS lifetime_events, count(*) FILTER (WHERE event_name = 'page_view') AS lifetime_page_views,
   count(DISTINCT order_id) AS lifetime_orders,
-  CAST(coalesce(sum(order_revenue_usd),0) AS DECIMAL(12,2)) AS lifetime_revenue_usd,
+  CAST(coalesce(sum(order_revenue_usd),0) AS DECIMAL(28,2)) AS lifetime_revenue_usd,
   {_picked(CONTEXT, "first_", "occurred_at, event_id")}
 FROM stg GROUP BY anonymous_id""",
     "title_mode": """
@@ -236,7 +237,7 @@ SELECT session_date, channel, device_type, count(*) AS sessions, count(DISTINCT
   count(*) FILTER (WHERE added_to_cart) AS sessions_added_to_cart,
   count(*) FILTER (WHERE started_checkout) AS sessions_started_checkout,
   count(*) FILTER (WHERE purchased) AS sessions_purchased, CAST(sum(orders) AS BIGINT) AS orders,
-  CAST(sum(revenue_usd) AS DECIMAL(12,2)) AS revenue_usd,
+  CAST(sum(revenue_usd) AS DECIMAL(28,2)) AS revenue_usd,
   {_pct("count(*) FILTER (WHERE is_bounce)", "count(*)")} AS bounce_rate_pct,
   {_pct("count(*) FILTER (WHERE purchased)", "count(*)")} AS conversion_rate_pct,
   {_rounded("sum(duration_seconds)", "count(*)", 1)} AS avg_session_seconds,
@@ -355,9 +356,10 @@ def oracle_sql() -> dict[str, str]:
         "validate_events": _plain(JUDGED, "judged"),
         "dead_letters": _query(
             "SELECT batch_id, kafka_partition, kafka_offset, sent_by AS message_key, error, "
-            "CASE WHEN bad_bytes THEN chr(65533)||chr(65533)||'\\x00' ELSE substr(sent,1,8000) END AS message_value "
+            "CASE WHEN bad_bytes THEN chr(65533)||chr(65533)||'\\x00' ELSE sent END AS message_value "
             "FROM judged WHERE error IS NOT NULL", "judged"),
-        "clean_reject_text": "SELECT doc_id, substr(replace(text, chr(0), '\\x00'),1,8000) AS message_value, "
+        "clean_reject_text": "SELECT doc_id, replace(text, chr(0), '\\x00') AS message_value, "
+                             "substr(replace(text, chr(0), '\\x00'),1,8000) AS limited_value, "
                              "substr(replace(text, chr(0), '\\x00'),1,512) AS message_key FROM documents",
         "dedup_first_offset": _plain("*", "winners"),
         "land_anti_join": _query(

@@ -8,12 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def half_up_div(numerator: Column, denominator: Column) -> Column:
+def half_up_div(numerator: Column, denominator: Column, wide: bool = False) -> Column:
     """numerator / denominator to the nearest integer, halves up.
 
-    For numerator >= 0 and denominator > 0; null when the denominator is 0 or null.
+    For numerator >= 0 and denominator > 0; null when the denominator is 0 or null. With `wide`
+    the numerator may have up to 30 digits, as money totals do; the result is a BIGINT.
     """
-    n, d = numerator.cast("bigint"), denominator.cast("bigint")
+    n = numerator.cast("decimal(30,0)" if wide else "bigint")
+    d = denominator.cast("decimal(20,0)" if wide else "bigint")
     return F.when(d > 0, F.call_function("div", F.lit(2) * n + d, F.lit(2) * d))
 
 
@@ -36,7 +38,7 @@ def from_units(units: Column, scale: int) -> Column:
 
 def to_units(amount: Column, scale: int) -> Column:
     """A decimal amount as an integer count of 10**-scale units."""
-    return (amount * F.lit(10**scale)).cast("bigint")
+    return (amount * F.lit(10**scale)).cast("decimal(30,0)")
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

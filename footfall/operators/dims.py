@@ -34,7 +34,7 @@ def dim_visitor(stg: DataFrame) -> DataFrame:
         F.count_if(_named("page_view")).alias("lifetime_page_views"),
         F.count_distinct("order_id").alias("lifetime_orders"),
         F.coalesce(F.sum("order_revenue_usd"), F.lit(0))
-        .cast("decimal(12,2)")
+        .cast("decimal(28,2)")
         .alias("lifetime_revenue_usd"),
         F.min_by(F.struct(*first_touch.values()), order).alias("first"),
     )

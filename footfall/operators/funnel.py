@@ -112,7 +112,7 @@ def funnel_reach(funnel: DataFrame) -> DataFrame:
             F.count_distinct("anonymous_id").alias("visitors_reached"),
             F.sum("stopped").alias("sessions_stopped_here"),
             F.sum("seconds").alias("seconds"),
-            F.coalesce(F.sum("usd"), F.lit(0)).cast("decimal(12,2)").alias("revenue_usd"),
+            F.coalesce(F.sum("usd"), F.lit(0)).cast("decimal(28,2)").alias("revenue_usd"),
         )
         .select(
             F.when(F.col("total") == 1, schema.ALL_CHANNELS)

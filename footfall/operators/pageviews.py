@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.keys import uuid_key
 from footfall.functions.rounding import seconds_between
-from footfall.operators.slices import SLICE, sliced
+from footfall.operators.slices import SLICE
 
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 BEFORE = (Window.unboundedPreceding, -1)
@@ -37,7 +37,7 @@ def fct_page_views(sessionized: DataFrame) -> DataFrame:
         "_seq", F.col("_row") - first_row.over(in_order.rowsBetween(*SO_FAR)) + 1
     )
 
-    joined = views.join(_across_slices(sliced(views)), ["anonymous_id", SLICE], "left")
+    joined = views.join(_across_slices(views), ["anonymous_id", SLICE], "left")
     seq = F.col("_seq") + F.when(
         F.col("session_id") == F.col("_head"), F.col("_views_before")
     ).otherwise(F.lit(0))

@@ -93,13 +93,13 @@ def unique_combination(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Non-null children without a parent. Children are counted per value before the
-    anti join, so one value held by very many rows joins once."""
+    anti join, and parents are made distinct, so one value held by very many rows joins once."""
     children = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("_key"))
         .agg(F.count("*").alias("_copies"))
     )
-    parents = parent.select(F.col(field).alias("_key"))
+    parents = parent.select(F.col(field).alias("_key")).distinct()
     orphans = children.join(parents, "_key", "left_anti")
     return orphans.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("failing_rows"))
 

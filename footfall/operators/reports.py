@@ -146,7 +146,7 @@ def recent_batches(batches: DataFrame, limit: int = 5) -> DataFrame:
             "rows_rejected",
             "error",
         )
-        .orderBy(F.desc("batch_id"))
+        .orderBy(F.desc("started_at"), F.desc("batch_id"))
         .limit(limit)
     )
 

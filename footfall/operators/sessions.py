@@ -9,7 +9,7 @@ from footfall import schema
 from footfall.functions.channels import channel
 from footfall.functions.keys import session_id, uuid_key
 from footfall.functions.rounding import seconds_between
-from footfall.operators.slices import HOT_VISITOR_EVENTS, SLICE, SLICE_EVENTS, add_slices, sliced
+from footfall.operators.slices import SLICE, add_slices
 
 SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
@@ -20,8 +20,7 @@ def sessionize(
     visitor: str = "anonymous_id",
     ts: str = "occurred_at",
     tie: str = "event_id",
-    hot_events: int = HOT_VISITOR_EVENTS,
-    slice_events: int = SLICE_EVENTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """`events` plus session_id, session_started_at and event_seq_in_session.
 
@@ -29,17 +28,18 @@ def sessionize(
     `timeout_minutes` passed since the previous one; a gap of exactly the timeout
     continues it. `tie` orders events of the same time.
 
-    All columns are kept, so later steps need no join back to the events. The
-    rows are shuffled once, by (visitor, visitor_slice), and sorted once.
+    All columns are kept, so later steps need no join back to the events. The rows
+    are dealt once by range and stored with their slice, then shuffled once by
+    (visitor, slice) and sorted once; `parts` is the number of ranges.
     """
     if timeout_minutes <= 0:
         raise ValueError("timeout_minutes must be positive")
     timeout = F.lit(timeout_minutes * 60_000_000)
 
     numbered = _local_sessions(
-        add_slices(events, visitor, ts, tie, hot_events, slice_events), timeout, visitor, ts, tie
+        add_slices(events, visitor, ts, tie, parts), timeout, visitor, ts, tie
     )
-    carry = _carried_sessions(sliced(numbered), timeout, visitor, ts)
+    carry = _carried_sessions(numbered, timeout, visitor, ts)
 
     joined = numbered.join(carry, [visitor, SLICE], "left")
     # Only a slice's first session can belong to the slice before.
@@ -146,19 +146,14 @@ def fct_sessions(sessionized: DataFrame, steps: list[str] | None = None) -> Data
     With `steps`, also `step_times`: the first time of each step in the session,
     null where it did not happen, for `funnel.funnel_steps`.
 
-    Rows of one session are combined before the shuffle. Distinct values are held
-    as sets only for ordinary visitors, whose sessions are small; those of very
-    active visitors are counted by a distinct of their own.
+    Rows of one session are combined before the shuffle. Distinct values are counted
+    over distinct (session, kind, value) rows, so no session is held as a set.
     """
     seq = F.col("event_seq_in_session")
 
     def happened(name: str) -> Column:
         return F.col("event_name") == name
 
-    def distinct_of(column: str, test: Column | None = None) -> Column:
-        keep = F.col(SLICE).isNull() if test is None else F.col(SLICE).isNull() & test
-        return F.size(F.collect_set(F.when(keep, F.col(column)))).cast("bigint")
-
     first_event = ["device_type", "browser", "os", "country",
                    "utm_source", "utm_medium", "utm_campaign"]
     extra = step_time_columns(steps) if steps else {}
@@ -169,15 +164,12 @@ def fct_sessions(sessionized: DataFrame, steps: list[str] | None = None) -> Data
         F.max("occurred_at").alias("ended_at"),
         F.count("*").alias("events"),
         F.count_if(happened("page_view")).alias("page_views"),
-        distinct_of("page_path", happened("page_view")).alias("unique_pages"),
         F.count_if(happened("search")).alias("searches"),
         F.bool_or(happened("product_view")).alias("viewed_product"),
         F.bool_or(happened("add_to_cart")).alias("added_to_cart"),
         F.bool_or(happened("checkout_start")).alias("started_checkout"),
         F.bool_or(happened("purchase")).alias("purchased"),
-        distinct_of("product_id", happened("product_view")).alias("products_viewed"),
-        distinct_of("order_id").alias("orders"),
-        F.coalesce(F.sum("order_revenue_usd"), F.lit(0)).cast("decimal(12,2)").alias("revenue_usd"),
+        F.coalesce(F.sum("order_revenue_usd"), F.lit(0)).cast("decimal(28,2)").alias("revenue_usd"),
         F.max_by("user_id", F.when(F.col("user_id").isNotNull(), seq)).alias("user_id"),
         F.min_by(F.struct(*first_event), seq).alias("_first"),
         F.min_by("referrer", F.when(F.col("referrer").isNotNull(), seq)).alias("landing_referrer"),
@@ -185,10 +177,10 @@ def fct_sessions(sessionized: DataFrame, steps: list[str] | None = None) -> Data
         F.max_by("page_path", F.when(happened("page_view"), seq)).alias("exit_page_path"),
         *[column.alias(name) for name, column in extra.items()],
     )
-    grouped = grouped.join(_distinct_in_slices(sessionized), "session_id", "left")
+    grouped = grouped.join(_distinct_values(sessionized), "session_id", "left")
 
     def counted(name: str) -> Column:
-        return (F.col(name) + F.coalesce(F.col(f"_{name}"), F.lit(0))).alias(name)
+        return F.coalesce(F.col(f"_{name}"), F.lit(0)).alias(name)
 
     columns = [
         "session_id",
@@ -228,8 +220,8 @@ def fct_sessions(sessionized: DataFrame, steps: list[str] | None = None) -> Data
     return grouped.select(*columns)
 
 
-def _distinct_in_slices(sessionized: DataFrame) -> DataFrame:
-    """Distinct pages, products and orders per session of very active visitors."""
+def _distinct_values(sessionized: DataFrame) -> DataFrame:
+    """Distinct pages, products and orders per session."""
 
     def item(kind: str, column: str, test: Column | None = None) -> Column:
         keep = F.col(column).isNotNull() if test is None else F.col(column).isNotNull() & test
@@ -243,8 +235,7 @@ def _distinct_in_slices(sessionized: DataFrame) -> DataFrame:
         )
     )
     return (
-        sliced(sessionized)
-        .select("session_id", F.inline(items))
+        sessionized.select("session_id", F.inline(items))
         .distinct()
         .groupBy("session_id")
         .agg(

@@ -1,80 +1,30 @@
-"""Time slices for very active visitors.
-
-Ordered work per visitor (gaps, sequences) would put all events of one visitor
-into one task. That is fine for people and not for a crawler that owns a third
-of the log. Visitors with more than `hot_events` events therefore get their
-events numbered into consecutive time slices of about `slice_events` rows; work
-is done per (visitor, slice) and the slices are stitched together from one small
-summary row each. All other visitors have a null slice.
+"""Slices of visitors' events, so that no visitor is one task.
+
+Ordered work per visitor (gaps, sequences) would put all events of one visitor into one task. That
+is fine for people and not for a crawler that owns a third of the log. Events are therefore dealt
+by range of (visitor, time, id) into parts of about equal size, whatever the times are; a part is a
+slice of each visitor in it, and most visitors lie in one part. Work is done per (visitor, slice)
+and the slices of a visitor, one for each part he spans, are stitched together from one summary row
+each. The parts are stored, so that every reader sees the same ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-HOT_VISITOR_EVENTS = 1_000_000
-SLICE_EVENTS = 1_000
-# Bound on the broadcast side. A visitor past this many busier ones holds at most
-# 1 / MAX_SLICED_VISITORS of the rows, and is handled whole: same result.
-MAX_SLICED_VISITORS = 100_000
+from footfall.session import stage
 
 SLICE = "visitor_slice"
-TIE_BYTES = 3
-
-
-def hot_visitors(
-    events: DataFrame, visitor: str, ts: str, hot_events: int, slice_events: int
-) -> DataFrame:
-    """Visitors to slice, with the start and width (microseconds) of their slices."""
-    at = F.unix_micros(ts)
-    counts = events.groupBy(visitor).agg(
-        F.count("*").alias("n"), F.min(at).alias("slice_origin"), F.max(at).alias("last")
-    )
-    slices = F.call_function("div", F.col("n"), F.lit(slice_events)) + 1
-    span = F.col("last") - F.col("slice_origin")
-    return (
-        counts.where(F.col("n") > hot_events)
-        # the id breaks ties: every use of this plan must pick the same visitors
-        .orderBy(F.desc("n"), visitor)
-        .limit(MAX_SLICED_VISITORS)
-        .select(
-            visitor,
-            "slice_origin",
-            (F.call_function("div", span, slices) + 1).alias("slice_width"),
-        )
-    )
 
 
 def add_slices(
-    events: DataFrame,
-    visitor: str,
-    ts: str,
-    tie: str,
-    hot_events: int = HOT_VISITOR_EVENTS,
-    slice_events: int = SLICE_EVENTS,
+    events: DataFrame, visitor: str, ts: str, tie: str, parts: int | None = None
 ) -> DataFrame:
-    """`events` with `visitor_slice`, null for ordinary visitors.
+    """`events` with `visitor_slice`, which rises with (ts, tie) within a visitor.
 
-    Slices follow the order (ts, tie). Where a slice is one microsecond wide, as for
-    a visitor whose events all carry one time, it is split on by the first characters
-    of a text `tie`.
+    `parts` is the number of ranges, by default Spark's number of shuffle partitions.
     """
-    hot = hot_visitors(events, visitor, ts, hot_events, slice_events)
-    offset = F.unix_micros(ts) - F.col("slice_origin")
-    by_time = F.call_function("div", offset, F.col("slice_width"))
-    by_tie = F.lit(0)
-    if isinstance(events.schema[tie].dataType, StringType):
-        first = F.rpad(F.substring(F.hex(tie), 1, 2 * TIE_BYTES), 2 * TIE_BYTES, "0")
-        by_tie = F.when(F.col("slice_width") == 1, F.conv(first, 16, 10).cast("bigint"))
-    return (
-        events.join(F.broadcast(hot), visitor, "left")
-        .withColumn(SLICE, by_time * 256**TIE_BYTES + F.coalesce(by_tie, F.lit(0)))
-        .drop("slice_origin", "slice_width")
-    )
-
-
-def sliced(df: DataFrame) -> DataFrame:
-    """Only the rows of very active visitors; Catalyst pushes this to the scan."""
-    return df.where(F.col(SLICE).isNotNull())
+    order = [visitor, ts, tie]
+    dealt = events.repartitionByRange(*([parts] if parts else []), *order)
+    return stage(dealt.withColumn(SLICE, F.spark_partition_id()), "sliced_events")

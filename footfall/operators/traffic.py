@@ -25,7 +25,7 @@ def daily_traffic(sessions: DataFrame) -> DataFrame:
         F.count_if("started_checkout").alias("sessions_started_checkout"),
         F.count_if("purchased").alias("sessions_purchased"),
         F.sum("orders").alias("orders"),
-        F.sum("revenue_usd").cast("decimal(12,2)").alias("revenue_usd"),
+        F.sum("revenue_usd").cast("decimal(28,2)").alias("revenue_usd"),
         F.sum("duration_seconds").alias("_seconds"),
     )
     sessions_n, cents = F.col("sessions"), to_units(F.col("revenue_usd"), 2)
@@ -35,7 +35,7 @@ def daily_traffic(sessions: DataFrame) -> DataFrame:
             "conversion_rate_pct": percent(F.col("sessions_purchased"), sessions_n),
             "avg_session_seconds": ratio(F.col("_seconds"), sessions_n, 1),
             "avg_page_views": ratio(F.col("page_views"), sessions_n, 2),
-            "revenue_per_session_usd": from_units(half_up_div(cents, sessions_n), 2),
-            "avg_order_value_usd": from_units(half_up_div(cents, F.col("orders")), 2),
+            "revenue_per_session_usd": from_units(half_up_div(cents, sessions_n, wide=True), 2),
+            "avg_order_value_usd": from_units(half_up_div(cents, F.col("orders"), wide=True), 2),
         }
     ).drop("_seconds")

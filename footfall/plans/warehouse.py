@@ -63,6 +63,17 @@ def merged(target: DataFrame, slice_: DataFrame, keys: list[str]) -> DataFrame:
     return kept.select(*slice_.columns).unionByName(slice_)
 
 
+def touched_partitions(target: DataFrame, slice_: DataFrame, partition: str) -> DataFrame:
+    """Rows of `target` in the partitions that `slice_` has rows for.
+
+    The range of the slice's partitions is one row, read first and given to the scan as literals,
+    so that folders outside it are not even listed as tasks; the join drops those in between.
+    """
+    low, high = slice_.agg(F.min(partition), F.max(partition)).first()
+    near = target.where(F.col(partition).between(F.lit(low), F.lit(high)))
+    return near.join(slice_.select(partition).distinct(), partition, "left_semi")
+
+
 def upsert(
     df: DataFrame,
     name: str,
@@ -88,7 +99,7 @@ def upsert(
         if partition is None:
             materialize_table(merged(target, slice_, keys), name)
         else:
-            touched = target.join(slice_.select(partition).distinct(), partition, "left_semi")
+            touched = touched_partitions(target, slice_, partition)
             build = f"{name}__build"
             materialize_table(merged(touched, slice_, keys), build)
             _overwrite_partitions(spark.table(build).select(*target.columns), name)

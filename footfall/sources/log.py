@@ -10,16 +10,21 @@ from footfall.sources.messages import validate_events
 
 
 def read_event_stream(
-    spark: SparkSession, fmt: str = "kafka", options: dict[str, str] | None = None
+    spark: SparkSession,
+    fmt: str = "kafka",
+    options: dict[str, str] | None = None,
+    batch_messages: int = 1_000_000,
 ) -> DataFrame:
     """Streaming messages; a new Kafka query starts at the earliest offset.
 
-    `fmt` may be a file format holding the same columns, as the tests use. Bound a
-    micro-batch with maxOffsetsPerTrigger or maxFilesPerTrigger.
+    `fmt` may be a file format holding the same columns, as the tests use. A micro-batch
+    reads about `batch_messages` messages and the next one goes on from there; for files,
+    set maxFilesPerTrigger.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("startingOffsets", "earliest")
+        reader = reader.option("maxOffsetsPerTrigger", batch_messages)
     else:
         reader = reader.schema(schema.LOG_MESSAGE)
     return reader.options(**(options or {})).load()

@@ -198,21 +198,24 @@ def valid_events(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("error").isNull()).drop("error", "message_key", "message_value")
 
 
-def clean_text(raw: Column, limit: int = schema.REJECT_VALUE_CHARS) -> Column:
-    """Bytes as storable text: bad UTF-8 replaced, NUL shown as \\x00, cut to `limit`."""
+def clean_text(raw: Column, limit: int | None = None) -> Column:
+    """Bytes as storable text: bad UTF-8 replaced, NUL shown as \\x00; whole unless `limit` is set."""
     text = F.make_valid_utf8(raw.cast("string"))
-    return F.substring(F.replace(text, F.char(F.lit(0)), F.lit("\\x00")), 1, limit)
+    shown = F.replace(text, F.char(F.lit(0)), F.lit("\\x00"))
+    return shown if limit is None else F.substring(shown, 1, limit)
 
 
-def dead_letters(validated: DataFrame) -> DataFrame:
-    """Rejected messages of a batch with their reason and cleaned text."""
+def dead_letters(
+    validated: DataFrame, key_limit: int | None = None, value_limit: int | None = None
+) -> DataFrame:
+    """Rejected messages of a batch with their reason and cleaned text, whole by default."""
     place = F.concat_ws("/", *ENVELOPE)
     return validated.where(F.col("error").isNotNull()).select(
         F.md5(place).alias("dead_letter_id"),
         "batch_id",
         *ENVELOPE,
-        clean_text(F.col("message_key"), schema.REJECT_KEY_CHARS).alias("message_key"),
-        clean_text(F.col("message_value")).alias("message_value"),
+        clean_text(F.col("message_key"), key_limit).alias("message_key"),
+        clean_text(F.col("message_value"), value_limit).alias("message_value"),
         "error",
     )
 

@@ -6,7 +6,7 @@ are dropped by id, dead letters by their place in the log, the batch row by its
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -19,22 +19,13 @@ from footfall import schema
 from footfall.plans.warehouse import now
 from footfall.sources import messages as msg
 
-# Ids of a batch up to this many are sent to all tasks to look them up in the
-# landed events; a larger batch is joined by a shuffle.
-BROADCAST_IDS = 200_000
-
 
 @dataclass
 class RawStore:
-    """The raw tables as Parquet folders under one root on shared storage.
-
-    `lookback_days` limits the search for ids already landed to recent ingest
-    dates; by default all landed events are searched.
-    """
+    """The raw tables as Parquet folders under one root on shared storage."""
 
     spark: SparkSession
     root: str
-    lookback_days: int | None = None
 
     def events(self) -> DataFrame:
         return self._read("events", schema.RAW_EVENTS + ", ingest_date DATE")
@@ -53,13 +44,6 @@ class RawStore:
                 raise
             return self.spark.createDataFrame([], columns)
 
-    def _searched(self, started_at: datetime) -> DataFrame:
-        landed = self.events()
-        if self.lookback_days is None:
-            return landed
-        oldest = F.date_sub(F.to_date(F.lit(started_at)), self.lookback_days)
-        return landed.where(F.col("ingest_date") >= oldest)
-
     def land(self, messages: DataFrame, batch_id: int, group: str) -> None:
         """Store one batch: new events, then dead letters, then the batch row."""
         started_at = now()
@@ -77,11 +61,10 @@ class RawStore:
 
     def _land_events(self, valid: DataFrame, started_at: datetime) -> None:
         events = msg.first_offset(msg.valid_events(valid))
-        landed = self._searched(started_at).select("event_id")
-        if valid.count() <= BROADCAST_IDS:
-            # scan the landed ids once, keep those of the batch, shuffle none
-            wanted = F.broadcast(events.select("event_id"))
-            landed = landed.join(wanted, "event_id", "left_semi")
+        # only the ids of this batch are looked for; Spark picks the join by measured size
+        landed = self.events().select("event_id").join(
+            events.select("event_id"), "event_id", "left_semi"
+        )
         new = msg.unseen(events, landed).withColumn("ingested_at", F.lit(started_at))
         columns = schema.names(schema.RAW_EVENTS)
         (
@@ -126,9 +109,14 @@ class RawStore:
         )
 
 
-def batch_number(group: str, stream_batch: int) -> int:
-    """Batch id that is the same when a batch repeats and differs between groups."""
-    return (zlib.crc32(group.encode()) << 31) + stream_batch
+def batch_number(query: str, stream_batch: int) -> int:
+    """Batch id that is the same when a batch repeats and differs between streams.
+
+    `query` is the stream's id, which its checkpoint holds: a new checkpoint is a new stream, also
+    in the same group, so its batches are logged anew.
+    """
+    digest = hashlib.sha256(query.encode()).digest()
+    return (int.from_bytes(digest[:4], "big") >> 1 << 32) + stream_batch
 
 
 def start_ingest(
@@ -145,7 +133,9 @@ def start_ingest(
     """
 
     def land(batch: DataFrame, number: int) -> None:
-        store.land(batch, batch_number(group, number), group)
+        # a stream's id is kept in its checkpoint
+        query = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
+        store.land(batch, batch_number(query, number), group)
 
     return (
         stream.writeStream.foreachBatch(land)

@@ -98,11 +98,11 @@ def skewed(spark, sf_dir):
 
 
 @pytest.mark.parametrize(
-    "minutes, slice_events", [(5, 7), (30, 100), (240, 1), (1440, 7), (20000, 1), (20000, 7)]
+    "minutes, parts", [(5, 60), (30, 8), (240, 200), (1440, 60), (20000, 200), (20000, 3)]
 )
-def test_slices_do_not_change_sessions(spark, sf_dir, minutes, slice_events):
+def test_slices_do_not_change_sessions(spark, sf_dir, minutes, parts):
     stg = skewed(spark, sf_dir).select("event_id", "anonymous_id", "occurred_at")
-    sliced = sessionize(stg, minutes, hot_events=20, slice_events=slice_events)
+    sliced = sessionize(stg, minutes, parts=parts)
     found = {r.event_id: (r.session_started_at, r.event_seq_in_session) for r in sliced.collect()}
     assert found == plain_sessions(stg.collect(), minutes)
     assert sliced.where(F.col("anonymous_id") == "crawler").select(SLICE).distinct().count() > 1
@@ -115,10 +115,27 @@ def test_events_of_one_time_are_sliced_by_id(spark, sf_dir):
         .withColumn("occurred_at", F.lit(START))
         .select("event_id", "anonymous_id", "occurred_at")
     )
-    sliced = sessionize(stg, 30, hot_events=20, slice_events=5)
+    sliced = sessionize(stg, 30, parts=100)
     found = {r.event_id: (r.session_started_at, r.event_seq_in_session) for r in sliced.collect()}
     assert found == plain_sessions(stg.collect(), 30)
-    assert sliced.select(SLICE).distinct().count() > 100
+    assert sliced.select(SLICE).distinct().count() > 50
+
+
+def test_slices_stay_even_with_a_stray_time_and_a_burst(spark):
+    at = F.when(F.col("id") == 0, F.lit("1970-01-01").cast("timestamp")).otherwise(
+        F.lit(START).cast("timestamp")
+        + F.make_dt_interval(secs=F.when(F.col("id") < 15_000, F.col("id") % 3600).otherwise(
+            F.col("id") * 60
+        ))
+    )
+    one = spark.range(20_000).select(
+        F.col("id").cast("string").alias("event_id"),
+        F.lit("crawler").alias("anonymous_id"),
+        at.alias("occurred_at"),
+    )
+    sizes = [r["count"] for r in sessionize(one, 30, parts=20).groupBy(SLICE).count().collect()]
+    assert sum(sizes) == 20_000
+    assert max(sizes) <= 3_000
 
 
 def same(one, other):
@@ -129,7 +146,7 @@ def same(one, other):
 def test_slices_do_not_change_facts(spark, sf_dir, minutes):
     stg = skewed(spark, sf_dir).persist()
     whole = sessionize(stg, minutes).persist()
-    sliced = sessionize(stg, minutes, hot_events=20, slice_events=5).persist()
+    sliced = sessionize(stg, minutes, parts=100).persist()
     assert same(bridge(whole), bridge(sliced))
     assert same(fct_page_views(whole), fct_page_views(sliced))
     steps = schema.FUNNEL_STEPS
@@ -215,7 +232,7 @@ def test_events_are_shuffled_and_sorted_once(spark, sf_dir):
     for df in (ses, fct_page_views(ses)):
         assert len(operators(df, "Exchange")) == 1
         assert len(operators(df, "Sort ")) == 1
-    # one row per session goes on to the second shuffle
+    # one row per session goes on to the second shuffle, beside the one that dealt the events
     assert len(operators(fct_sessions(ses), "Exchange")) == 2
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from test_messages import doc
 
 from footfall import schema
+from footfall.operators.reports import recent_batches
 from footfall.sources.log import read_event_batch, read_event_stream
-from footfall.streaming import ingest
 from footfall.streaming.ingest import RawStore, batch_number, start_ingest
 
 
@@ -38,7 +38,7 @@ def test_ingest_replay_and_rerun(spark, tmp_path):
 
     assert store.events().count() == 3
     assert store.dead_letters().first().message_value == "{bad"
-    logged = store.batches().orderBy("batch_id").collect()
+    logged = store.batches().orderBy("started_at").collect()
     numbers = [
         (b.messages_read, b.rows_inserted, b.rows_duplicate, b.rows_rejected, b.offsets)
         for b in logged
@@ -71,12 +71,14 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     assert (before.rows_inserted, before.rows_rejected) == (2, 1)
 
 
-def test_large_batches_use_a_shuffle_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(ingest, "BROADCAST_IDS", 0)
-    source, store = str(tmp_path / "log"), RawStore(spark, str(tmp_path / "raw"), lookback_days=2)
+def test_lost_checkpoint_in_the_same_group_is_logged_anew(spark, tmp_path):
+    source, store = str(tmp_path / "log"), RawStore(spark, str(tmp_path / "raw"))
     write_log(spark, source, [(0, 0, event(1)), (0, 1, event(2))])
-    batch = read_event_batch(spark, "parquet", {"path": source})
-    store.land(batch, 1, "g")
-    store.land(batch, 2, "g")
-    assert store.events().count() == 2
-    assert store.batches().where(F.col("batch_id") == 2).first().rows_duplicate == 2
+    run(spark, source, store, str(tmp_path / "c1"))
+    write_log(spark, source, [(0, 2, event(3)), (0, 3, b"{bad")])
+    run(spark, source, store, str(tmp_path / "c2"))
+    logged = store.batches().orderBy("started_at").collect()
+    numbers = [(b.messages_read, b.rows_inserted, b.rows_duplicate, b.rows_rejected) for b in logged]
+    assert numbers == [(2, 2, 0, 0), (2, 0, 2, 0), (2, 1, 0, 1)]
+    recent = [r.batch_id for r in recent_batches(store.batches()).collect()]
+    assert recent == [b.batch_id for b in reversed(logged)]
