@@ -1,4 +1,4 @@
-"""The same results in plain SQL for another engine, written independently.
+"""The same results in plain SQL for another engine, from the rules in other terms.
 
 Relations are common table expressions over the test tables; a query names those it
 needs and they are put in front of it.
@@ -38,17 +38,21 @@ def _cents(amount: str) -> str:
 
 
 def _sessionized(minutes: int) -> str:
+    """An event opens a session if no event of its visitor lies in the timeout before it; all others
+    belong to the last one opened before them. Numbers are places in the session's list of events."""
+    opened = f"""
+SELECT anonymous_id, occurred_at AS opened_at FROM stg e WHERE NOT EXISTS (
+  SELECT 1 FROM stg p WHERE p.anonymous_id = e.anonymous_id
+  AND p.occurred_at BETWEEN e.occurred_at - INTERVAL '{minutes}' MINUTE AND e.occurred_at
+  AND (p.occurred_at < e.occurred_at OR p.event_id < e.event_id))"""
     return f"""
-SELECT * EXCLUDE (prev, no),
-  {_uuid("anonymous_id||'|'||strftime(session_started_at,'%Y%m%d%H%M%S%g')")} AS session_id
-FROM (
-  SELECT *, min(occurred_at) OVER (PARTITION BY anonymous_id, no) AS session_started_at,
-    row_number() OVER (PARTITION BY anonymous_id, no ORDER BY occurred_at, event_id) AS event_seq_in_session
-  FROM (
-    SELECT *, sum(CASE WHEN prev IS NULL OR occurred_at - prev > INTERVAL '{minutes}' MINUTE THEN 1 ELSE 0 END)
-      OVER (PARTITION BY anonymous_id ORDER BY occurred_at, event_id ROWS UNBOUNDED PRECEDING) AS no
-    FROM (SELECT *, lag(occurred_at) OVER (PARTITION BY anonymous_id ORDER BY occurred_at, event_id) AS prev
-          FROM stg)))"""
+SELECT stg.*, opened_at AS session_started_at, place AS event_seq_in_session,
+  {_uuid("stg.anonymous_id||'|'||strftime(opened_at,'%Y%m%d%H%M%S%g')")} AS session_id
+FROM (SELECT opened_at, unnest(ids) AS event_id, generate_subscripts(ids, 1) AS place
+      FROM (SELECT o.anonymous_id, o.opened_at, list(e.event_id ORDER BY e.occurred_at, e.event_id) AS ids
+            FROM stg e ASOF JOIN ({opened}) o
+            ON e.anonymous_id = o.anonymous_id AND e.occurred_at >= o.opened_at GROUP BY 1, 2))
+JOIN stg USING (event_id)"""
 
 
 CHANNEL = """CASE WHEN utm_medium IN ('cpc','ppc','paid_search') THEN 'paid_search'
@@ -107,7 +111,7 @@ SELECT *, CASE WHEN bad_bytes THEN 'message value is not UTF-8'
  WHEN p_name = 'purchase' AND (p_revenue_type IS NULL OR p_revenue_type = 'VARCHAR'
       OR try_cast(p_revenue AS DOUBLE) < 0)
    THEN 'purchase requires a non-negative order.revenue_usd, got '||CASE p_revenue_type
-     WHEN 'VARCHAR' THEN ||p_revenue|| ELSE coalesce(p_revenue, 'None') END
+     WHEN 'VARCHAR' THEN chr(39)||p_revenue||chr(39) ELSE coalesce(p_revenue, 'None') END
  END AS error FROM parsed""",
     "winners": """
 SELECT CAST(p_uuid AS VARCHAR) AS event_id, p_name AS event_name, p_visitor AS anonymous_id, p_ts AS occurred_at,
@@ -125,36 +129,35 @@ LEFT JOIN (SELECT batch_id, count(*) AS stored FROM winners GROUP BY 1) s USING
     "sessions": f"""
 SELECT session_id, anonymous_id, {_uuid("anonymous_id")} AS visitor_key, user_id, started_at, ended_at,
   CAST(started_at AS DATE) AS session_date, {_seconds("ended_at", "started_at")} AS duration_seconds,
-  events, page_views, unique_pages, searches,
-  (page_views <= 1 AND NOT viewed_product AND NOT added_to_cart AND NOT started_checkout AND NOT purchased) AS is_bounce,
-  viewed_product, added_to_cart, started_checkout, purchased, products_viewed, orders, revenue_usd,
-  {", ".join(CONTEXT)}, landing_referrer, entry_page_path, exit_page_path, {CHANNEL} AS channel
-FROM (SELECT session_id, min(anonymous_id) AS anonymous_id, min(session_started_at) AS started_at,
-  max(occurred_at) AS ended_at, count(*) AS events,
-  count(*) FILTER (WHERE event_name = 'page_view') AS page_views,
-  count(DISTINCT page_path) FILTER (WHERE event_name = 'page_view') AS unique_pages,
-  count(*) FILTER (WHERE event_name = 'search') AS searches,
-  bool_or(event_name = 'product_view') AS viewed_product, bool_or(event_name = 'add_to_cart') AS added_to_cart,
-  bool_or(event_name = 'checkout_start') AS started_checkout, bool_or(event_name = 'purchase') AS purchased,
-  count(DISTINCT product_id) FILTER (WHERE event_name = 'product_view') AS products_viewed,
-  count(DISTINCT order_id) AS orders,
-  CAST(coalesce(sum(order_revenue_usd),0) AS DECIMAL(28,2)) AS revenue_usd,
-  {_first("user_id", "user_id IS NOT NULL", "event_seq_in_session DESC")} AS user_id,
-  {_picked(CONTEXT)},
-  {_first("referrer", "referrer IS NOT NULL")} AS landing_referrer,
-  {_first("page_path", "event_name = 'page_view'")} AS entry_page_path,
-  {_first("page_path", "event_name = 'page_view'", "event_seq_in_session DESC")} AS exit_page_path
-FROM ses GROUP BY session_id)""",
+  events, n['page_view'] AS page_views, pages AS unique_pages, n['search'] AS searches,
+  n['page_view'] < 2 AND events = n['page_view'] + n['search'] AS is_bounce,
+  n['product_view'] > 0 AS viewed_product, n['add_to_cart'] > 0 AS added_to_cart,
+  n['checkout_start'] > 0 AS started_checkout, n['purchase'] > 0 AS purchased,
+  products AS products_viewed, orders, revenue_usd, {", ".join(f"opening.{c}" for c in CONTEXT)},
+  landing_referrer, entry_page_path, exit_page_path, {CHANNEL.replace("utm_", "opening.utm_")} AS channel
+FROM (SELECT session_id, any_value(anonymous_id) AS anonymous_id, any_value(session_started_at) AS started_at,
+    max(occurred_at) AS ended_at, count(*) AS events,
+    struct_pack({", ".join(f"{e} := count_if(event_name = '{e}')" for e in schema.EVENT_NAMES)}) AS n,
+    coalesce(len(list_distinct(list(page_path) FILTER (WHERE event_name = 'page_view'))),0) AS pages,
+    coalesce(len(list_distinct(list(product_id) FILTER (WHERE event_name = 'product_view'))),0) AS products,
+    coalesce(len(list_distinct(list(order_id))),0) AS orders,
+    coalesce(sum(CAST(order_revenue_usd AS DECIMAL(28,2))),0) AS revenue_usd,
+    arg_max(user_id, event_seq_in_session) AS user_id,
+    arg_min(struct_pack({", ".join(f"{c} := {c}" for c in CONTEXT)}), event_seq_in_session) AS opening,
+    arg_min(referrer, event_seq_in_session) AS landing_referrer,
+    arg_min_null(page_path, event_seq_in_session) FILTER (WHERE event_name = 'page_view') AS entry_page_path,
+    arg_max_null(page_path, event_seq_in_session) FILTER (WHERE event_name = 'page_view') AS exit_page_path
+  FROM ses GROUP BY session_id)""",
     "views": f"""
-SELECT event_id AS page_view_id, session_id, anonymous_id, {_uuid("anonymous_id")} AS visitor_key,
-  {_uuid("page_path")} AS page_key, user_id, occurred_at, CAST(occurred_at AS DATE) AS view_date, page_view_seq,
-  page_path, page_title, page_type, referrer, device_type, browser, os, country,
-  page_view_seq = 1 AS is_entry_page, page_view_seq = total AS is_exit_page,
-  CASE WHEN next_at IS NOT NULL THEN {_seconds("next_at", "occurred_at")} END AS seconds_on_page
-FROM (SELECT *, row_number() OVER w AS page_view_seq, lead(occurred_at) OVER w AS next_at,
-        count(*) OVER (PARTITION BY session_id) AS total
-      FROM ses WHERE event_name = 'page_view' AND page_path IS NOT NULL
-      WINDOW w AS (PARTITION BY session_id ORDER BY occurred_at, event_seq_in_session, event_id))""",
+SELECT ses.event_id AS page_view_id, ses.session_id, anonymous_id, {_uuid("anonymous_id")} AS visitor_key,
+  {_uuid("page_path")} AS page_key, user_id, occurred_at, CAST(occurred_at AS DATE) AS view_date,
+  place AS page_view_seq, page_path, page_title, page_type, referrer, device_type, browser, os, country,
+  place = 1 AS is_entry_page, place = len(trail) AS is_exit_page,
+  CASE WHEN place < len(trail) THEN {_seconds("trail[place + 1].at", "occurred_at")} END AS seconds_on_page
+FROM (SELECT trail, unnest(range(1, len(trail) + 1)) AS place
+      FROM (SELECT list(struct_pack(at := occurred_at, id := event_id) ORDER BY occurred_at, event_id) AS trail
+            FROM ses WHERE event_name = 'page_view' AND page_path IS NOT NULL GROUP BY session_id))
+JOIN ses ON ses.event_id = trail[place].id""",
     "visitors": f"""
 SELECT {_uuid("anonymous_id")} AS visitor_key, anonymous_id,
   {_first("user_id", "user_id IS NOT NULL", "occurred_at DESC, event_id DESC")} AS user_id,
@@ -203,48 +206,56 @@ FROM (SELECT string_split('{STEPS}', ',') AS names)""",
 SELECT session_id, event_name, min(occurred_at) AS reached_at FROM ses
 WHERE event_name IN (SELECT step_name FROM steps) GROUP BY 1, 2""",
     "funnel": f"""
-SELECT session_id, step_index, step_name, reached_at, started_at AS session_started_at, session_date, channel,
+SELECT session_id, step_index, split_part('{STEPS}', ',', CAST(step_index AS INT)) AS step_name,
+  times[step_index] AS reached_at, started_at AS session_started_at, session_date, channel,
   device_type, country, anonymous_id, revenue_usd AS session_revenue_usd,
-  {_seconds("reached_at", "started_at")} AS seconds_from_session_start,
-  step_index = max(step_index) OVER (PARTITION BY session_id) AS is_final_step
-FROM (SELECT *, sum(broken) OVER (PARTITION BY session_id ORDER BY step_index) AS breaks
-      FROM (SELECT session_id, step_index, step_name, reached_at,
-              CASE WHEN step_index <> row_number() OVER w OR reached_at < lag(reached_at) OVER w THEN 1 ELSE 0 END AS broken
-            FROM hits JOIN steps ON step_name = event_name
-            WINDOW w AS (PARTITION BY session_id ORDER BY step_index)))
-JOIN sessions USING (session_id) WHERE breaks = 0""",
-    "reach": f"""
-SELECT CASE WHEN grouping(channel) = 1 THEN '{schema.ALL_CHANNELS}' ELSE channel END AS channel, step_index,
-  min(step_name) AS step_name, count(DISTINCT session_id) AS sessions_reached,
-  count(DISTINCT anonymous_id) AS visitors_reached, count(*) FILTER (WHERE is_final_step) AS sessions_stopped_here,
+  {_seconds("times[step_index]", "started_at")} AS seconds_from_session_start,
+  step_index = depth AS is_final_step
+FROM (SELECT session_id, times, depth, unnest(range(1, depth + 1)) AS step_index
+      FROM (SELECT session_id, times, CASE {" ".join(
+          f"WHEN times[{k}] IS NULL" + (f" OR times[{k}] < times[{k - 1}]" if k > 1 else "") + f" THEN {k - 1}"
+          for k in range(1, len(schema.FUNNEL_STEPS) + 1))} ELSE {len(schema.FUNNEL_STEPS)} END AS depth
+        FROM (SELECT session_id, [{", ".join(
+          f"min(CASE event_name WHEN '{e}' THEN occurred_at END)" for e in schema.FUNNEL_STEPS)}] AS times
+          FROM ses GROUP BY 1)))
+JOIN sessions USING (session_id)""",
+    "reach": " UNION ALL ".join(f"""
+SELECT {label} AS channel, step_index, any_value(step_name) AS step_name, count(*) AS sessions_reached,
+  len(list_distinct(list(anonymous_id))) AS visitors_reached,
+  coalesce(sum(CAST(is_final_step AS BIGINT)),0) AS sessions_stopped_here,
   {_rounded("sum(seconds_from_session_start)", "count(*)", 1)} AS avg_seconds_to_reach,
-  CAST(coalesce(sum(session_revenue_usd) FILTER (WHERE step_name = 'purchase'),0) AS DOUBLE) AS revenue_usd
-FROM funnel GROUP BY GROUPING SETS ((channel, step_index), (step_index))""",
+  CAST(sum(CASE step_name WHEN 'purchase' THEN session_revenue_usd ELSE 0 END) AS DOUBLE) AS revenue_usd
+FROM funnel GROUP BY {keys}""" for label, keys in (
+        ("channel", "channel, step_index"), (f"'{schema.ALL_CHANNELS}'", "step_index"))),
     "conversion": f"""
-SELECT channel, step_index, step_name, sessions_reached, visitors_reached, sessions_entered, prev_step_sessions,
-  coalesce(prev_step_sessions - sessions_reached, 0) AS sessions_lost, sessions_stopped_here,
-  {_pct("sessions_reached", "prev_step_sessions")} AS step_conversion_pct,
-  {_pct("sessions_reached", "sessions_entered")} AS overall_conversion_pct,
-  {_pct("prev_step_sessions - sessions_reached", "prev_step_sessions")} AS step_dropoff_pct,
-  avg_seconds_to_reach, revenue_usd
-FROM (SELECT *, first_value(sessions_reached) OVER w AS sessions_entered, lag(sessions_reached) OVER w AS prev_step_sessions
-      FROM reach WINDOW w AS (PARTITION BY channel ORDER BY step_index))""",
+SELECT r.channel, r.step_index, r.step_name, r.sessions_reached, r.visitors_reached,
+  entry.sessions_reached AS sessions_entered, before.sessions_reached AS prev_step_sessions,
+  coalesce(before.sessions_reached - r.sessions_reached, 0) AS sessions_lost,
+  CAST(r.sessions_stopped_here AS BIGINT) AS sessions_stopped_here,
+  {_pct("r.sessions_reached", "before.sessions_reached")} AS step_conversion_pct,
+  {_pct("r.sessions_reached", "entry.sessions_reached")} AS overall_conversion_pct,
+  {_pct("before.sessions_reached - r.sessions_reached", "before.sessions_reached")} AS step_dropoff_pct,
+  r.avg_seconds_to_reach, r.revenue_usd
+FROM reach r JOIN reach entry ON entry.channel = r.channel AND entry.step_index = 1
+LEFT JOIN reach before ON before.channel = r.channel AND before.step_index = r.step_index - 1""",
     "daily": f"""
-SELECT session_date, channel, device_type, count(*) AS sessions, count(DISTINCT anonymous_id) AS visitors,
-  CAST(sum(events) AS BIGINT) AS events, CAST(sum(page_views) AS BIGINT) AS page_views,
-  CAST(sum(searches) AS BIGINT) AS searches, count(*) FILTER (WHERE is_bounce) AS bounced_sessions,
-  count(*) FILTER (WHERE viewed_product) AS sessions_viewed_product,
-  count(*) FILTER (WHERE added_to_cart) AS sessions_added_to_cart,
-  count(*) FILTER (WHERE started_checkout) AS sessions_started_checkout,
-  count(*) FILTER (WHERE purchased) AS sessions_purchased, CAST(sum(orders) AS BIGINT) AS orders,
-  CAST(sum(revenue_usd) AS DECIMAL(28,2)) AS revenue_usd,
-  {_pct("count(*) FILTER (WHERE is_bounce)", "count(*)")} AS bounce_rate_pct,
-  {_pct("count(*) FILTER (WHERE purchased)", "count(*)")} AS conversion_rate_pct,
-  {_rounded("sum(duration_seconds)", "count(*)", 1)} AS avg_session_seconds,
-  {_rounded("sum(page_views)", "count(*)", 2)} AS avg_page_views,
-  {_rounded(_cents("sum(revenue_usd)"), "count(*)", 0)}/100.0 AS revenue_per_session_usd,
-  {_rounded(_cents("sum(revenue_usd)"), "sum(orders)", 0)}/100.0 AS avg_order_value_usd
-FROM sessions GROUP BY ALL""",
+SELECT day AS session_date, channel, device_type, n AS sessions, visitors, s.events, s.page_views, s.searches,
+  s.bounced AS bounced_sessions, s.viewed AS sessions_viewed_product, s.added AS sessions_added_to_cart,
+  s.started AS sessions_started_checkout, s.bought AS sessions_purchased, s.orders, s.usd AS revenue_usd,
+  {_pct("s.bounced", "n")} AS bounce_rate_pct, {_pct("s.bought", "n")} AS conversion_rate_pct,
+  {_rounded("s.seconds", "n", 1)} AS avg_session_seconds, {_rounded("s.page_views", "n", 2)} AS avg_page_views,
+  {_rounded(_cents("s.usd"), "n", 0)}/100.0 AS revenue_per_session_usd,
+  {_rounded(_cents("s.usd"), "s.orders", 0)}/100.0 AS avg_order_value_usd
+FROM (SELECT session_date AS day, channel, device_type, count(*) AS n,
+    len(list_distinct(list(anonymous_id))) AS visitors, struct_pack({", ".join(
+      f"{name} := CAST(sum({what}) AS {kind})" for name, what, kind in (
+        ("events", "events", "BIGINT"), ("page_views", "page_views", "BIGINT"),
+        ("searches", "searches", "BIGINT"), ("bounced", "CAST(is_bounce AS INT)", "BIGINT"),
+        ("viewed", "CAST(viewed_product AS INT)", "BIGINT"), ("added", "CAST(added_to_cart AS INT)", "BIGINT"),
+        ("started", "CAST(started_checkout AS INT)", "BIGINT"), ("bought", "CAST(purchased AS INT)", "BIGINT"),
+        ("orders", "orders", "BIGINT"), ("seconds", "duration_seconds", "BIGINT"),
+        ("usd", "revenue_usd", "DECIMAL(28,2)")))}) AS s
+  FROM sessions GROUP BY 1, 2, 3)""",
 }
 
 # What each relation is built from.
@@ -253,7 +264,7 @@ NEEDS: dict[str, list[str]] = {
     "batches": ["winners"], "ses": ["stg"], "ses30": ["stg"], "sessions": ["ses"], "views": ["ses"],
     "visitors": ["stg"], "title_mode": ["stg"], "type_mode": ["stg"], "pages_dim": ["title_mode", "type_mode"],
     "name_mode": ["stg"], "category_mode": ["stg"], "products": ["name_mode", "category_mode"],
-    "hits": ["ses", "steps"], "funnel": ["hits", "sessions"], "reach": ["funnel"], "conversion": ["reach"],
+    "hits": ["ses", "steps"], "funnel": ["sessions"], "reach": ["funnel"], "conversion": ["reach"],
     "daily": ["sessions"],
 }
 
