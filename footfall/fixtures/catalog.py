@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -174,6 +175,19 @@ def incremental_upsert(spark: SparkSession, d: str) -> DataFrame:
     return merged.select(*EVENT, "page_title", "ingested_at")
 
 
+def stored_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """The same upsert into a stored table, of which only touched partitions are rewritten."""
+    warehouse.create_databases(spark)
+    name = f"stg.upserted_{uuid.uuid4().hex}"
+    day = F.to_date("ingested_at")
+    old = _stale(spark, d)
+    warehouse.upsert(old.withColumn("day", day), name, ["event_id"], partition="day")
+    slice_ = staging.incremental_slice(adapter.raw_events(spark, d), old)
+    fresh = staging.flatten_events(slice_).select(*old.columns)
+    warehouse.upsert(fresh.withColumn("day", day), name, ["event_id"], partition="day")
+    return spark.table(name).select(*EVENT, "page_title", "ingested_at")
+
+
 def surrogate_keys(spark: SparkSession, d: str) -> DataFrame:
     return _stg(spark, d).select(
         "event_id",
@@ -390,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "stg_events_flatten": stg_events_flatten,
     "incremental_overlap_slice": incremental_overlap_slice,
     "incremental_upsert": incremental_upsert,
+    "stored_upsert": stored_upsert,
     "surrogate_keys": surrogate_keys,
     "channel_grouping": channel_grouping,
     "event_name_counts": event_name_counts,

@@ -398,6 +398,10 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {EVENT}, page_title, ingested_at FROM stg WHERE ingested_at >= {floor} UNION ALL "
             f"SELECT {EVENT}, page_title, ingested_at FROM target WHERE event_id NOT IN "
             f"(SELECT event_id FROM stg WHERE ingested_at >= {floor})", "stg", target=target),
+        "stored_upsert": _query(
+            f"SELECT {EVENT}, page_title, ingested_at FROM stg WHERE ingested_at >= {floor} UNION ALL "
+            f"SELECT {EVENT}, page_title, ingested_at FROM target WHERE event_id NOT IN "
+            f"(SELECT event_id FROM stg WHERE ingested_at >= {floor})", "stg", target=target),
         "surrogate_keys": _query(
             f"SELECT event_id, {_uuid('anonymous_id')} AS visitor_key, {_uuid('page_path')} AS page_key, "
             f"{_uuid('product_id')} AS product_key FROM stg", "stg"),

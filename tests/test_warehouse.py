@@ -135,3 +135,34 @@ def test_report_logs(spark):
     last = reports.last_transform_run(runs).first()
     assert (last.run_id, last.models, last.succeeded, last.failed) == ("r1", 1, 1, 0)
     assert reports.last_transform_run(runs.where("false")).count() == 0
+
+
+def test_upsert_reads_touched_partitions_only(spark, databases):
+    from plans import physical
+
+    days = spark.range(300).select(
+        "id", F.expr("date_add(DATE'2024-01-01', int(id / 10))").alias("day")
+    )
+    warehouse.upsert(days, "stg.by_day", ["id"], partition="day")
+    fresh = days.where("day BETWEEN '2024-01-28' AND '2024-01-29'")
+    touched = warehouse.touched_partitions(spark.table("stg.by_day"), fresh, "day")
+    scan = next(line for line in physical(touched) if "by_day" in line)
+    filters = scan[scan.index("PartitionFilters") :]
+    assert ">= 2024-01-28" in filters and "<= 2024-01-29" in filters
+    assert warehouse.upsert(fresh, "stg.by_day", ["id"], partition="day") == 20
+    assert spark.table("stg.by_day").count() == 300
+
+
+def test_totals_beyond_ten_billion(spark):
+    from footfall.operators.traffic import daily_traffic
+
+    sessions = spark.range(300).selectExpr(
+        "DATE'2024-01-01' AS session_date", "'direct' AS channel", "'mobile' AS device_type",
+        "string(id) AS anonymous_id", "1L AS events", "1L AS page_views", "0L AS searches",
+        "false AS is_bounce", "true AS viewed_product", "true AS added_to_cart",
+        "true AS started_checkout", "true AS purchased", "1L AS orders",
+        "CAST(9000000000.01 AS DECIMAL(28,2)) AS revenue_usd", "10 AS duration_seconds",
+    )
+    row = daily_traffic(sessions).first()
+    assert str(row.revenue_usd) == "2700000000003.00"
+    assert str(row.avg_order_value_usd) == "9000000000.01"
