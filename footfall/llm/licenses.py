@@ -118,7 +118,7 @@ KEYS = (
 
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *sorted(TEMPLATES)]
-BUCKETS = 1 << 14
+BUCKETS = 1 << 12
 #: Ordinary lines the model is fitted with at most, from documents taken by hash of their id.
 BACKGROUND_DOCUMENTS, BACKGROUND_LINES = 200, 1000
 #: Variants of each template.
@@ -132,7 +132,7 @@ def words(line: Column) -> Column:
 
 
 def runs(of: Column) -> Column:
-    """Different runs of one to three words."""
+    """Different runs of one to three words of a column (stored ahead, as it is used repeatedly)."""
     n = F.size(of)
 
     def joined(k: int):
@@ -154,7 +154,7 @@ def runs(of: Column) -> Column:
 class Model:
     families: LogisticRegressionModel
     notice: LogisticRegressionModel
-    templates: DataFrame  # family, parts
+    templates: dict[str, list[list[str]]]  # runs of words of the templates, by family
 
 
 def _lines(documents: DataFrame, text: str) -> DataFrame:
@@ -179,7 +179,14 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mod
     spark = documents.sparkSession
     templates = spark.createDataFrame(
         [(f, t) for f in sorted(TEMPLATES) for t in TEMPLATES[f]], "family STRING, template STRING"
-    ).withColumn("parts", runs(words(F.col("template"))))
+    )
+    known: dict[str, list[list[str]]] = {}
+    for row in (
+        templates.withColumn("words", words(F.col("template")))
+        .select("family", runs(F.col("words")).alias("parts"))
+        .collect()
+    ):
+        known.setdefault(row.family, []).append(row.parts)
     body = F.col(text).cast("string")
     plain = (
         documents.select(F.xxhash64(F.col(doc_id).cast("string")).alias("o"), body.alias("body"))
@@ -211,16 +218,16 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mod
     label = F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), F.col("family")) - 1
     training = stage(
         _features(
-            source.select(
+            source.withColumn("words", variants).select(
                 label.cast("double").alias("label"),
-                runs(variants).alias("parts"),
+                runs(F.col("words")).alias("parts"),
                 (F.pmod(F.xxhash64("template", "seed"), F.lit(3)) == 0).alias("aside"),
             )
         ).drop("parts"),
         "licence_training",
-    )
+    ).coalesce(1)  # a few thousand rows, read in every step of the fit
     families = LogisticRegression(
-        maxIter=100, regParam=1e-4, standardization=False, family="multinomial"
+        maxIter=60, regParam=1e-4, standardization=False, family="multinomial"
     ).fit(
         training.where("not aside").select("label", "features")
     )
@@ -231,7 +238,7 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mod
             array_to_vector(F.array(_margin(F.col("rawPrediction")))).alias("features"),
         )
     )
-    return Model(families, notice, templates)
+    return Model(families, notice, known)
 
 
 def _foreign(side: str) -> Column:
@@ -269,53 +276,44 @@ def find_notices(
 
     Lines without any of the keys can't be confirmed and are not looked at further; all others are,
     whole. Null and empty texts have no notices. Repeated rows give repeated notices; no documents,
-    none. Nothing is shuffled: the model and the templates are fixed in size.
+    none. The model and the templates are fixed in size.
     """
-    paragraphs = (
+    spark = documents.sparkSession
+    # stored, so that the words and the scores of a paragraph are made once
+    paragraphs = stage(
         _lines(
             documents.select(
                 F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("body")
             ),
             "body",
         )
-        .select("doc_id", "line", "paragraph", runs(words(F.col("paragraph"))).alias("parts"))
         .where(F.lower("paragraph").rlike(KEYS))
+        .select("doc_id", "line", "paragraph", words(F.col("paragraph")).alias("words")),
+        "licence_paragraphs",
+    ).withColumn("parts", runs(F.col("words")))
+    scored = stage(
+        model.families.transform(_features(paragraphs)).select(
+            "doc_id", "line", "paragraph", "parts", vector_to_array("rawPrediction").alias("raw")
+        ),
+        "licence_scores",
     )
-    scored = model.families.transform(_features(paragraphs)).select(
-        "doc_id",
-        "line",
-        "paragraph",
-        "parts",
-        (F.array(*[F.lit(f) for f in FAMILIES[1:]]))[
-            F.array_position(
-                F.slice(vector_to_array("rawPrediction"), 2, len(FAMILIES) - 1),
-                F.array_max(F.slice(vector_to_array("rawPrediction"), 2, len(FAMILIES) - 1)),
-            ).cast("int")
-            - 1
-        ].alias("family"),
-        _margin(F.col("rawPrediction")).alias("margin"),
-    )
+    rest = F.slice("raw", 2, len(FAMILIES) - 1)
+    best = F.array_position(rest, F.array_max(rest)).cast("int")
     slope, shift = float(model.notice.coefficients[0]), float(model.notice.intercept)
-    sure = 1 / (1 + F.exp(-(F.col("margin") * slope + shift)))
-    by_family = F.create_map(
-        *[
-            x
-            for f in FAMILIES[1:]
-            for x in (
-                F.lit(f),
-                F.array(*[runs(words(F.lit(t))) for t in TEMPLATES[f]]),
-            )
-        ]
+    margin = F.array_max(rest) - F.col("raw")[0]
+    templates = spark.createDataFrame(
+        sorted(model.templates.items()), "family STRING, templates ARRAY<ARRAY<STRING>>"
     )
     share = F.array_max(
         F.transform(
-            by_family[F.col("family")],
-            lambda t: F.size(F.array_intersect(t, F.col("parts"))) / F.size(t),
+            "templates", lambda t: F.size(F.array_intersect(t, F.col("parts"))) / F.size(t)
         )
     )
     return (
-        scored.withColumn("probability", sure)
+        scored.withColumn("probability", 1 / (1 + F.exp(-(margin * slope + shift))))
         .where(F.col("probability") >= probability)
+        .withColumn("family", F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), best))
+        .join(templates, "family")
         .withColumn("share", share)
         .where(F.col("share") >= confirmed)
         .select("doc_id", "line", "paragraph", "family", "probability", "share")
