@@ -18,7 +18,7 @@ from footfall.llm.queries import QUALITY_THRESHOLD, quality_model
 from footfall.session import ship, stage
 
 #: A document is kept if its main language holds at least this part of its text.
-LANGUAGE_SHARE = 0.35
+LANGUAGE_SHARE = 0.3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
