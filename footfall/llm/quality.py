@@ -89,7 +89,8 @@ def rows_of_terms(column: pa.Array) -> np.ndarray:
 
 def weighted(table: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Log frequencies by rarity, each group of terms at unit length."""
-    out = (np.log1p(table) * rarity).astype(np.float32)
+    out = np.log1p(table.astype(np.float32))
+    out *= rarity.astype(np.float32)
     at = 0
     for size in GROUPS:
         part = out[:, at : at + size]
@@ -133,49 +134,59 @@ def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(
-    labelled: DataFrame,
+    documents: DataFrame,
+    labels: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    label: str = "label",
+    label: str = "quality",
     sample_rows: int = SAMPLE_ROWS,
     dimensions: int = DIMENSIONS,
 ) -> Model:
-    """Fit on labelled rows (label 0 or 1), `sample_rows` of them at most, chosen by hash of the id.
+    """Fit on labels (0 or 1) of documents, `sample_rows` of them at most, chosen by hash of the id.
 
-    Null texts or labels are left out. Without labelled rows every score is 0.5.
+    The sample is drawn from the labels alone; its ids, a bounded number, are sent to the documents,
+    which are not shuffled. Null texts or labels are left out, as are labels without a document; an
+    id that repeats counts each time. Without labelled documents every score is 0.5.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in small(batches):
-            table = rows_of_terms(rows.column("_body")).astype("<i4")
+            table = np.minimum(rows_of_terms(rows.column("_body")), 65535).astype("<u2")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x.tobytes() for x in table], pa.binary()),
                     rows.column("label"),
-                    rows.column("_order"),
+                    rows.column("order"),
                 ],
-                names=["terms", "label", "_order"],
+                names=["terms", "label", "order"],
             )
 
-    body = F.col(text).cast("string")
-    sample = (
-        labelled.select(
-            body.alias("_body"),
+    chosen = (
+        labels.select(
+            F.col(doc_id).alias("id"),
             F.col(label).cast("int").alias("label"),
-            F.xxhash64(F.col(doc_id).cast("string"), body).alias("_order"),
+            F.xxhash64(F.col(doc_id).cast("string")).alias("order"),
         )
-        .where("_body is not null and label is not null")
-        .orderBy("_order")
+        .where("id is not null and label is not null")
+        .orderBy("order", "label")
         .limit(sample_rows)
     )
-    rows = sample.mapInArrow(work, "terms BINARY, label INT, _order BIGINT").collect()
-    rows.sort(key=lambda r: r._order)
-    if not rows:
+    sample = (
+        documents.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("_body"))
+        .where("_body is not null")
+        .join(F.broadcast(chosen), "id")
+        .select("_body", "label", "order")
+    )
+    rows = sample.mapInArrow(work, "terms BINARY, label INT, order BIGINT").toArrow()
+    rows = rows.sort_by([("order", "ascending"), ("label", "ascending"), ("terms", "ascending")])
+    rows = rows.slice(0, sample_rows)
+    if not rows.num_rows:
         none = np.zeros((0, dimensions), np.float32)
         return Model(np.zeros(TERMS), np.zeros((TERMS, dimensions)), none, np.zeros(0), 0.5)
-    labels = np.array([r.label for r in rows], float)
-    table = np.stack([np.frombuffer(r.terms, "<i4") for r in rows])
-    rarity = np.log(1 + len(rows) / (1 + (table > 0).sum(axis=0)))
+    labels_ = rows.column("label").to_numpy().astype(float)
+    terms = b"".join(x.as_buffer().to_pybytes() for x in rows.column("terms"))
+    table = np.frombuffer(terms, "<u2").reshape(len(labels_), TERMS)
+    rarity = np.log(1 + len(labels_) / (1 + (table > 0).sum(axis=0)))
     x = weighted(table, rarity)
     # randomised range finder with two power steps
     basis = np.random.default_rng(7).standard_normal((x.shape[1], dimensions + 16), np.float32)
@@ -183,9 +194,9 @@ def fit(
         basis, _ = np.linalg.qr(x.T @ (x @ basis))
     _, _, turned = np.linalg.svd(x @ basis, full_matrices=False)
     axes = (basis @ turned.T)[:, :dimensions].astype(np.float32)
-    model = Model(rarity, axes, np.zeros((0, axes.shape[1])), labels, float(labels.mean()))
-    model.vectors = model.place(table).astype(np.float32)
-    return model
+    at = x @ axes
+    at /= np.maximum(np.linalg.norm(at, axis=1, keepdims=True), 1e-9)
+    return Model(rarity, axes, at, labels_, float(labels_.mean()))
 
 
 def score_documents(
@@ -216,7 +227,4 @@ def score_documents(
                 names=[*names, "score"],
             )
 
-    kept = "".join(
-        f"`{f.name}` {f.dataType.simpleString()}, " for f in chosen.schema if f.name in names
-    )
-    return chosen.mapInArrow(work, kept + "score DOUBLE")
+    return chosen.mapInArrow(work, T.schema(chosen, names, "score DOUBLE"))

@@ -91,10 +91,7 @@ QUALITY_THRESHOLD = 0.3
 
 def quality_model(documents: DataFrame, labels: DataFrame) -> quality.Model:
     """Fitted on labelled documents outside the held-out fifth."""
-    labelled = labels.select("doc_id", F.col("quality").alias("label"))
-    return quality.fit(
-        documents.select("doc_id", "text").where(_fifth() != 0).join(labelled, "doc_id")
-    )
+    return quality.fit(documents, labels.where(_fifth() != 0))
 
 
 def op6_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
