@@ -1,7 +1,45 @@
-"""The queries of this package in SQL for another engine, where SQL can express them."""
+"""Queries of this package in SQL for another engine, where SQL can express them.
+
+The others encode with a tokenizer, hash with XXH64, fit a model or partition numbers; tests hold
+them against plain versions.
+"""
 
 from __future__ import annotations
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w, least(13, len(w)) AS m FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)
+          WHERE item_id IS NOT NULL AND len(w) > 0),
+windows AS (SELECT DISTINCT item_id, m, list_slice(w, k, k + m - 1) AS part
+            FROM (SELECT item_id, w, m, unnest(range(1, CAST(len(w) - m + 2 AS BIGINT))) AS k FROM items)),
+places AS (SELECT doc_id, m, k, list_slice(w, k, k + m - 1) AS part
+           FROM (SELECT doc_id, w, m, unnest(range(1, CAST(len(w) - m + 2 AS BIGINT))) AS k
+                 FROM d, (SELECT DISTINCT m FROM items) WHERE len(w) >= m)),
+found AS (SELECT doc_id, k, m, item_id FROM places JOIN windows USING (m, part)),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, unnest(range(k, k + m)) AS place FROM found) GROUP BY 1),
+listed AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+             string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+           FROM found GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS other FROM v
+          UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON reach.other = links.a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id,
+  min(other) = vec_id AS kept
+FROM reach LEFT JOIN degree USING (vec_id) GROUP BY vec_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_pstable_hashing": VECTORS, "op4_wu_manber": DECONTAMINATION}
