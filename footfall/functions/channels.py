@@ -20,11 +20,6 @@ MEDIUM_CHANNEL = {
 
 def channel(medium: Column, source: Column) -> Column:
     """A known medium decides; with neither medium nor source the visit is direct."""
-    by_channel: dict[str, list[str]] = {}
-    for name, label in MEDIUM_CHANNEL.items():
-        by_channel.setdefault(label, []).append(name)
-    result = None
-    for label, names in by_channel.items():
-        test = medium.isin(names)
-        result = F.when(test, label) if result is None else result.when(test, label)
-    return result.when(medium.isNull() & source.isNull(), "direct").otherwise("other")
+    known = F.create_map(*[F.lit(x) for pair in MEDIUM_CHANNEL.items() for x in pair])
+    unknown = F.when(medium.isNull() & source.isNull(), "direct").otherwise("other")
+    return F.coalesce(F.element_at(known, medium), unknown)
