@@ -12,7 +12,6 @@ with doc_id, frame, and n_tokens.
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -39,48 +38,111 @@ FOOTER = struct.Struct("<IBI")
 # --- end of fixed values ----------------------------------------------------
 #: A frame is closed once its documents reach this size; one document is never cut.
 FRAME_BYTES = 1 << 20
-#: Words whose ids a Python worker remembers, and the longest one it remembers.
+#: Pieces whose ids a Python worker remembers, and the longest one it remembers.
 CACHE_ENTRIES = 600_000
-CACHE_BYTES = 48
+CACHE_CHARS = 48
 END_ID = 2
 
 
 class WordEncoder:
-    """A tokenizer that drops white space, applied to each different word once.
+    """A tokenizer that drops white space, applied to each different piece of a word once.
 
-    Its normaliser and its split pattern never join characters across ASCII white space, so the ids
-    of a text are those of its words in order.
+    Its normaliser and its split pattern never join characters across ASCII white space, nor a
+    letter or digit with punctuation behind it, so the ids of a text are those of its words, less
+    punctuation at their ends, and of that punctuation, in order. Capitals A to Z may be small ones.
     """
 
     def __init__(self, model: str) -> None:
         self.tokenizer = Tokenizer.from_str(model)
-        self.words = re.compile(r"[^\x20\x09-\x0D]+")
+        size = self.tokenizer.get_vocab_size()
+        names = (self.tokenizer.id_to_token(i) or "" for i in range(size))
+        self.closes = np.array([name.endswith("</w>") for name in names])
+        #: ids of pieces met lately, and of pieces met before those
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.words.findall(x or "") for x in texts]
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and where each text begins."""
+        special = b"<|" in T.raw(column)[0].tobytes()
+        found = pieces(T.words(column, T.WHITE, lower=not special))
+        _, first, which = np.unique(found.hashes(), return_index=True, return_inverse=True)
+        coded = self.lookup(found.strings(first).to_pylist())
+        sizes = np.array([len(x) >> 2 for x in coded], np.int64)
+        table = np.frombuffer(b"".join(coded), "<u4")
+        begin = np.cumsum(sizes) - sizes
+        mine = sizes[which]
+        at = np.cumsum(mine) - mine
+        ids = table[np.repeat(begin[which] - at, mine) + np.arange(mine.sum())]
+        return ids, np.append(at, len(ids))[found.first]
+
+    def lookup(self, texts: list[str]) -> list[bytes]:
         known, older = self.known, self.older
-        new, now = [], {}
-        for word in set().union(*split):
-            ids = known.get(word)
+        out = [known.get(x) or older.get(x) for x in texts]
+        plain, other = [], []
+        for k, ids in enumerate(out):
             if ids is None:
-                ids = older.get(word)
-                if ids is None:
-                    new.append(word)
-                    continue
-                known[word] = ids
-            now[word] = ids
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            coded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for word, found in zip(part, coded, strict=True):
-                now[word] = ids = np.array(found.ids, "<u4").tobytes()
-                if len(word) <= CACHE_BYTES:
-                    known[word] = ids
+                x = texts[k]
+                (plain if x.isalpha() and (x.isascii() or max(x) < "\u0100") else other).append(k)
+        for at in range(0, len(plain), 4096):
+            part = plain[at : at + 4096]
+            for k, ids in zip(part, self.letters([texts[k] for k in part]), strict=True):
+                out[k] = ids
+        for at in range(0, len(other), 4096):
+            part = other[at : at + 4096]
+            coded = self.tokenizer.encode_batch_fast(
+                [texts[k] for k in part], add_special_tokens=False
+            )
+            for k, found in zip(part, coded, strict=True):
+                out[k] = np.array(found.ids, "<u4").tobytes()
+        for k in plain + other:
+            if len(texts[k]) <= CACHE_CHARS:
+                known[texts[k]] = out[k]
         if 2 * len(known) >= CACHE_ENTRIES:
             self.older, self.known = known, {}
-        return [b"".join([now[w] for w in mine]) for mine in split]
+        return out
+
+    def letters(self, texts: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters, encoded together: each is closed by one token."""
+        step = 256
+        joined = [" ".join(texts[k : k + step]) for k in range(0, len(texts), step)]
+        coded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, "<u4") for x in coded])
+        ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+        if len(ends) != len(texts):
+            raise ValueError("the tokenizer splits words of letters")
+        raw, begin = ids.tobytes(), 0
+        out = []
+        for end in ends.tolist():
+            out.append(raw[begin:end])
+            begin = end
+        return out
+
+
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[list(b".,;:!?")] = True
+_ASCII_ALNUM = ~T.NOT_ALNUM
+_ASCII_ALNUM[ord("A") : ord("Z") + 1] = True
+_ASCII_ALNUM[128:] = False
+
+
+def pieces(found: T.Words) -> T.Words:
+    """Words cut before the punctuation at their end, where a Latin letter or a digit is before it."""
+    if not len(found):
+        return found
+    data, last = found.data, found.ends - 1
+    solid = np.where(_PUNCTUATION[data], -1, np.arange(len(data)))
+    core = np.maximum.accumulate(solid)[last]  # last byte that is no punctuation
+    inside = (core >= found.starts) & (core < last)
+    byte, before = data[np.maximum(core, 0)], data[np.maximum(core - 1, 0)]
+    letter = (before == 0xC3) & (byte >= 0x80) & (byte != 0x97) & (byte != 0xB7)
+    cut = inside & (_ASCII_ALNUM[byte] | (letter & (core > found.starts)))
+    many = 1 + cut
+    at = np.cumsum(many) - many
+    starts = np.repeat(found.starts, many)
+    ends = np.repeat(found.ends, many)
+    ends[at[cut]] = core[cut] + 1
+    starts[at[cut] + 1] = core[cut] + 1
+    return T.Words(data, found.offsets, starts, ends, np.append(at, len(starts))[found.first])
 
 
 class FrameWriter:
@@ -198,12 +260,13 @@ def write_files(
             writer = FrameWriter(out)
             for batch in batches:
                 kind = batch.column("doc_id").type
-                for rows in T.chunks(batch, "text"):
-                    coded = mine.encode(rows.column("text").to_pylist())
-                    for doc, tokens in zip(rows.column("doc_id").to_pylist(), coded, strict=True):
-                        writer.add(doc, tokens + last)
-                        total += len(tokens) // 4 + 1
-                        docs += 1
+                for rows in T.chunks(batch, "text", 2 * T.CHUNK_BYTES):
+                    ids, at = mine.encode(rows.column("text"))
+                    raw, at = ids.tobytes(), (at * 4).tolist()
+                    for k, doc in enumerate(rows.column("doc_id").to_pylist()):
+                        writer.add(doc, raw[at[k] : at[k + 1]] + last)
+                    total += len(ids) + rows.num_rows
+                    docs += rows.num_rows
             writer.close(kind)
         store.move(draft, path)
         yield pa.RecordBatch.from_arrays(
