@@ -313,7 +313,7 @@ def find_notices(
         scored.withColumn("probability", 1 / (1 + F.exp(-(margin * slope + shift))))
         .where(F.col("probability") >= probability)
         .withColumn("family", F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), best))
-        .join(templates, "family")
+        .join(F.broadcast(templates), "family")  # a row for each family
         .withColumn("share", share)
         .where(F.col("share") >= confirmed)
         .select("doc_id", "line", "paragraph", "family", "probability", "share")
