@@ -109,7 +109,7 @@ OTHER = [
     "Creative people often share common interests.",
     "You may not use the lift without a key.",
 ]
-#: A notice has one of these; they start each template's decisive part.
+#: Background lines with one of these may be notices and are not trained on as ordinary text.
 KEYS = (
     "licen[cs]|copyright|public domain|creative commons|redistribut|permission|proprietary|"
     "free software|cc0|cc[ -]by"
@@ -155,12 +155,25 @@ class Model:
     families: LogisticRegressionModel
     notice: LogisticRegressionModel
     templates: dict[str, list[list[str]]]  # runs of words of the templates, by family
+    common: dict[str, int]  # how many background lines have a word of the templates
+
+
+def anchors(parts: list[str], common: dict[str, int], confirmed: float) -> list[str]:
+    """Words of a template, rare ones first; a text with none of them has less than `confirmed` of
+    its runs, so leaving it out loses nothing."""
+    chosen, left = [], list(parts)
+    single = {p for p in parts if " " not in p}
+    for word in sorted(single, key=lambda w: (common.get(w, 0), -len(w), w)):
+        if len(left) < confirmed * len(parts):
+            break
+        chosen.append(word)
+        left = [p for p in left if word not in p.split(" ")]
+    return chosen
 
 
 def _lines(documents: DataFrame, text: str) -> DataFrame:
-    body = F.col(text).cast("string")
-    return documents.where(F.lower(body).rlike(KEYS)).select(
-        "*", F.posexplode(F.split(body, r"[\r\n]+")).alias("line", "paragraph")
+    return documents.select(
+        "*", F.posexplode(F.split(F.col(text).cast("string"), r"[\r\n]+")).alias("line", "paragraph")
     )
 
 
@@ -188,7 +201,7 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mod
     ):
         known.setdefault(row.family, []).append(row.parts)
     body = F.col(text).cast("string")
-    plain = (
+    plain = stage(
         documents.select(F.xxhash64(F.col(doc_id).cast("string")).alias("o"), body.alias("body"))
         .where("body is not null")
         .orderBy("o", F.xxhash64("body"))
@@ -196,8 +209,18 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mod
         .select("o", F.explode(F.split("body", r"[\r\n]+")).alias("template"))
         .where((F.col("template") != "") & ~F.lower("template").rlike(KEYS))
         .orderBy(F.xxhash64("o", "template"))
-        .limit(BACKGROUND_LINES)
+        .limit(BACKGROUND_LINES),
+        "licence_background",
     )
+    single = sorted({p for f in known.values() for t in f for p in t if " " not in p})
+    common = {
+        row.word: row["count"]
+        for row in plain.select(F.explode(F.array_distinct(words(F.col("template")))).alias("word"))
+        .where(F.col("word").isin(single))
+        .groupBy("word")
+        .count()
+        .collect()
+    }
     other = spark.createDataFrame([(x,) for x in OTHER], "template STRING")
     source = (
         templates.select("family", "template", F.lit(VARIANTS).alias("n"))
@@ -238,7 +261,7 @@ def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Mod
             array_to_vector(F.array(_margin(F.col("rawPrediction")))).alias("features"),
         )
     )
-    return Model(families, notice, known)
+    return Model(families, notice, known, common)
 
 
 def _foreign(side: str) -> Column:
@@ -274,11 +297,14 @@ def find_notices(
 ) -> DataFrame:
     """Notices found: doc_id, line (from 0), paragraph, family, probability, share of the template.
 
-    Lines without any of the keys can't be confirmed and are not looked at further; all others are,
-    whole. Null and empty texts have no notices. Repeated rows give repeated notices; no documents,
+    Lines without any anchor of a template can't hold `confirmed` (above 0) of one and are not looked
+    at further; all others are, whole. Null and empty texts have no notices. Repeated rows give repeated notices; no documents,
     none. The model and the templates are fixed in size.
     """
     spark = documents.sparkSession
+    anchor = sorted(
+        {w for f in model.templates.values() for t in f for w in anchors(t, model.common, confirmed)}
+    )
     # stored, so that the words and the scores of a paragraph are made once
     paragraphs = stage(
         _lines(
@@ -287,8 +313,8 @@ def find_notices(
             ),
             "body",
         )
-        .where(F.lower("paragraph").rlike(KEYS))
-        .select("doc_id", "line", "paragraph", words(F.col("paragraph")).alias("words")),
+        .select("doc_id", "line", "paragraph", words(F.col("paragraph")).alias("words"))
+        .where(F.arrays_overlap("words", F.lit(anchor))),
         "licence_paragraphs",
     ).withColumn("parts", runs(F.col("words")))
     scored = stage(

@@ -497,3 +497,28 @@ def test_licences(llm, corpus, none):
     assert rows(licenses.licences(none.withColumn("line", F.lit(1)), model)) == []
 
 
+def each_template(llm, made):
+    """A document for each template, and the families wanted."""
+    every = [(f, t) for f in sorted(licenses.TEMPLATES) for t in licenses.TEMPLATES[f]]
+    df = llm.createDataFrame(
+        [(k, made(t)) for k, (_, t) in enumerate(every)], "doc_id BIGINT, text STRING"
+    )
+    return df, {k: [f] for k, (f, _) in enumerate(every)}
+
+
+@pytest.fixture(scope="module")
+def licence_model(corpus):
+    return licenses.fit(corpus)
+
+
+def test_every_template_is_a_notice(llm, licence_model):
+    df, wanted = each_template(llm, lambda t: t)
+    assert {r.doc_id: r.families for r in licenses.licences(df, licence_model).collect()} == wanted
+
+
+def test_anchors_lose_no_text(licence_model):
+    for family in licence_model.templates.values():
+        for parts in family:
+            chosen = licenses.anchors(parts, licence_model.common, 0.5)
+            left = [p for p in parts if not set(p.split(" ")) & set(chosen)]
+            assert 2 * len(left) < len(parts)
