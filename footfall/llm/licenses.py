@@ -124,6 +124,8 @@ BACKGROUND_DOCUMENTS, BACKGROUND_LINES = 200, 1000
 #: Variants of each template.
 VARIANTS = 24
 PROBABILITY, CONFIRMED = 0.5, 0.5
+#: Words that may stand between those of a template, and words around a notice that are looked at.
+LOOSE, AROUND = 10, 5
 
 
 def words(line: Column) -> Column:
@@ -171,12 +173,6 @@ def anchors(parts: list[str], common: dict[str, int], confirmed: float) -> list[
     return chosen
 
 
-def _lines(documents: DataFrame, text: str) -> DataFrame:
-    return documents.select(
-        "*", F.posexplode(F.split(F.col(text).cast("string"), r"[\r\n]+")).alias("line", "paragraph")
-    )
-
-
 def _features(rows: DataFrame, parts: str = "parts") -> DataFrame:
     return HashingTF(
         inputCol=parts, outputCol="features", numFeatures=BUCKETS, binary=True
@@ -287,62 +283,243 @@ def _margin(raw: Column) -> Column:
     return F.array_max(F.slice(values, 2, len(FAMILIES) - 1)) - values[0]
 
 
-def find_notices(
-    documents: DataFrame,
-    model: Model,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    probability: float = PROBABILITY,
-    confirmed: float = CONFIRMED,
-) -> DataFrame:
-    """Notices found: doc_id, line (from 0), paragraph, family, probability, share of the template.
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once for a row, however often later columns use it."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def _paragraphs(documents: DataFrame, doc_id: str, text: str, anchor: list[str]) -> DataFrame:
+    """A row per line with one of the words `anchor`: row, doc_id, paragraph (its number), lines,
+    words, and of each word the line it is in."""
+    lines = documents.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(doc_id).alias("doc_id"),
+        F.posexplode(F.split(F.col(text).cast("string"), r"[\r\n]+")).alias("paragraph", "body"),
+    )
+    found = lines.select(
+        "row", "doc_id", "paragraph", F.array("body").alias("lines"), words(F.col("body")).alias("words")
+    ).where(F.arrays_overlap("words", F.lit(anchor)))
+    return found.withColumn("owner", F.transform("words", lambda w: F.col("paragraph")))
+
+
+def _windows(paragraphs: DataFrame, model: Model, anchor: list[str], confirmed: float) -> DataFrame:
+    """Windows of paragraphs that hold enough of a template: where they begin and end, the words
+    between, and these with those around.
 
-    Lines without any anchor of a template can't hold `confirmed` (above 0) of one and are not looked
-    at further; all others are, whole. Null and empty texts have no notices. Repeated rows give repeated notices; no documents,
-    none. The model and the templates are fixed in size.
+    Paragraphs are cut into pieces that overlap by the longest window, so that each window lies in
+    a piece. Windows are as long as the template, longer by some words, and whole pieces; the best
+    of those that begin near each other are taken, and cut to the first and last pair of words of
+    the template.
     """
-    spark = documents.sparkSession
+    table = [
+        (family, sum(" " not in p for p in parts), parts, anchors(parts, model.common, confirmed))
+        for family, every in sorted(model.templates.items())
+        for parts in every
+    ]
+    longest = max(n for _, n, _, _ in table) + LOOSE
+    templates = paragraphs.sparkSession.createDataFrame(
+        [(table,)],
+        "templates ARRAY<STRUCT<family: STRING, n: INT, parts: ARRAY<STRING>, anchors: ARRAY<STRING>>>",
+    )
+    size = F.size("words")
+    pieces = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), size - longest), F.lit(longest)),
+        lambda i: F.struct(
+            i.alias("start"),
+            F.slice("words", i, 2 * longest).alias("words"),
+            F.slice("owner", i, 2 * longest).alias("owner"),
+        ),
+    )
+    pieces = paragraphs.select(
+        "row",
+        "doc_id",
+        "paragraph",
+        F.xxhash64("lines").alias("digest"),
+        F.explode(F.filter(pieces, lambda p: F.arrays_overlap(p.words, F.lit(anchor)))).alias("p"),
+    ).select("row", "doc_id", "paragraph", "digest", "p.*")
+    holds = F.filter(
+        "templates",
+        lambda t: F.arrays_overlap(t.anchors, F.col("words"))
+        & (F.size(F.array_intersect(t.parts, F.col("parts"))) >= F.size(t.parts) * confirmed),
+    )
+    near = (
+        _once(pieces, "parts", runs(F.col("words")))
+        .crossJoin(F.broadcast(templates))  # one row
+        .withColumn("t", F.explode(holds))
+        .select(
+            *pieces.columns, F.col("t.family").alias("family"), F.col("t.n").alias("n"),
+            F.col("t.parts").alias("template"),
+        )
+    )
+
+    def part_of(i: Column, k: int) -> Column:
+        run = F.array_join(F.slice("words", i, k), " ")
+        return ((i + k - 1 <= size) & F.array_contains("template", run)).cast("int")
+
+    places = F.sequence(F.lit(1), size)
+    near = _once(near, "pairs", F.transform(places, lambda i: part_of(i, 2)))
+    near = _once(
+        near,
+        "held",
+        F.transform(places, lambda i: part_of(i, 1) + F.element_at("pairs", i) + part_of(i, 3)),
+    )
+    n = F.col("n")
+    lengths = F.array_distinct(F.array(F.least(size, n), F.least(size, n + LOOSE), size))
+    near = near.withColumn("length", F.explode(lengths))
+    near = _once(
+        near,
+        "sums",
+        F.transform(
+            F.sequence(F.lit(1), size - F.col("length") + 1),
+            lambda j: F.aggregate(F.slice("held", j, F.col("length")), F.lit(0), lambda x, y: x + y),
+        ),
+    )
+    half = F.floor(n / 2).cast("int")
+    best = F.filter(
+        F.sequence(F.lit(1), F.size("sums")),
+        lambda j: (F.element_at("sums", j) >= F.size("template") * confirmed)
+        & (
+            F.element_at("sums", j)
+            == F.array_max(F.slice("sums", F.greatest(F.lit(1), j - half), 2 * half + 1))
+        ),
+    )
+    near = near.withColumn("j", F.explode(best))
+    near = _once(near, "inside", F.slice("words", F.col("j"), F.col("length")))
+    near = _once(
+        near, "matched", F.size(F.array_intersect(F.col("template"), runs(F.col("inside"))))
+    ).where(F.col("matched") >= F.size("template") * confirmed)
+    within = F.filter(
+        F.sequence(F.col("j"), F.col("j") + F.col("length") - 1),
+        lambda i: (F.element_at("pairs", i) == 1) & (i < F.col("j") + F.col("length") - 1),
+    )
+    near = _once(near, "within", within)
+    some = F.size("within") > 0
+    near = _once(near, "low", F.when(some, F.array_min("within")).otherwise(F.col("j")))
+    near = _once(
+        near,
+        "high",
+        F.when(some, F.array_max("within") + 1).otherwise(F.col("j") + F.col("length") - 1),
+    )
+    first = F.greatest(F.lit(1), F.col("low") - AROUND)
+    near = _once(near, "core", F.slice("words", F.col("low"), F.col("high") - F.col("low") + 1))
+    near = _once(near, "wide", F.slice("words", first, F.col("high") + AROUND - first + 1))
+    return near.select(
+        "row",
+        "doc_id",
+        "paragraph",
+        "digest",
+        "family",
+        "matched",
+        (F.col("matched") / F.size("template")).alias("share"),
+        (F.col("start") + F.col("low") - 1).alias("begin"),
+        (F.col("start") + F.col("high") - 1).alias("end"),
+        F.element_at("owner", F.col("low")).alias("line"),
+        F.element_at("owner", F.col("high")).alias("last_line"),
+        runs(F.col("core")).alias("parts"),
+        runs(F.col("wide")).alias("wide_parts"),
+    )
+
+
+def _notices(
+    documents: DataFrame, model: Model, doc_id: str, text: str, probability: float, confirmed: float
+) -> tuple[DataFrame, DataFrame]:
+    """Notices without their paragraphs' texts, and the paragraphs looked at."""
     anchor = sorted(
         {w for f in model.templates.values() for t in f for w in anchors(t, model.common, confirmed)}
     )
-    # stored, so that the words and the scores of a paragraph are made once
-    paragraphs = stage(
-        _lines(
-            documents.select(
-                F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("body")
-            ),
-            "body",
-        )
-        .select("doc_id", "line", "paragraph", words(F.col("paragraph")).alias("words"))
-        .where(F.arrays_overlap("words", F.lit(anchor))),
-        "licence_paragraphs",
-    ).withColumn("parts", runs(F.col("words")))
+    # stored, so that rows keep their numbers
+    paragraphs = stage(_paragraphs(documents, doc_id, text, anchor), "licence_paragraphs")
+    windows = stage(_windows(paragraphs, model, anchor, confirmed), "licence_windows")
+    # the words of the notice tell its family, those around it whether it is one
+    around = model.families.copy({model.families.rawPredictionCol: "wideRaw"})
+    scored = model.families.transform(_features(windows)).drop(
+        "features", "prediction", "probability"
+    )
     scored = stage(
-        model.families.transform(_features(paragraphs)).select(
-            "doc_id", "line", "paragraph", "parts", vector_to_array("rawPrediction").alias("raw")
+        around.transform(_features(scored, "wide_parts")).select(
+            *[c for c in windows.columns if c not in ("parts", "wide_parts")],
+            vector_to_array("rawPrediction").alias("raw"),
+            vector_to_array("wideRaw").alias("wide"),
         ),
         "licence_scores",
     )
-    rest = F.slice("raw", 2, len(FAMILIES) - 1)
-    best = F.array_position(rest, F.array_max(rest)).cast("int")
+
+    def families(raw: str) -> Column:
+        return F.slice(raw, 2, len(FAMILIES) - 1)
+
+    best = F.array_position(families("raw"), F.array_max(families("raw"))).cast("int")
     slope, shift = float(model.notice.coefficients[0]), float(model.notice.intercept)
-    margin = F.array_max(rest) - F.col("raw")[0]
-    templates = spark.createDataFrame(
-        sorted(model.templates.items()), "family STRING, templates ARRAY<ARRAY<STRING>>"
+    margin = F.array_max(families("wide")) - F.col("wide")[0]
+    sure = scored.withColumn("probability", 1 / (1 + F.exp(-(margin * slope + shift)))).where(
+        (F.col("probability") >= probability)
+        & (F.col("family") == F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), best))
     )
-    share = F.array_max(
-        F.transform(
-            "templates", lambda t: F.size(F.array_intersect(t, F.col("parts"))) / F.size(t)
+    # of windows that overlap, the one that holds most of its template stands
+    ranked = F.array_sort(
+        F.collect_set(
+            F.struct(
+                (-F.col("matched")).alias("less"),
+                (-F.col("share")).alias("low"),
+                (F.col("end") - F.col("begin")).alias("length"),
+                (-F.col("probability")).alias("unsure"),
+                *["begin", "end", "family", "line", "last_line"],
+            )
         )
     )
-    return (
-        scored.withColumn("probability", 1 / (1 + F.exp(-(margin * slope + shift))))
-        .where(F.col("probability") >= probability)
-        .withColumn("family", F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), best))
-        .join(F.broadcast(templates), "family")  # a row for each family
-        .withColumn("share", share)
-        .where(F.col("share") >= confirmed)
-        .select("doc_id", "line", "paragraph", "family", "probability", "share")
+    standing = F.aggregate(
+        "ranked",
+        F.filter("ranked", lambda x: F.lit(False)),
+        lambda kept, x: F.when(
+            F.exists(kept, lambda y: (x.begin <= y.end) & (y.begin <= x.end)), kept
+        ).otherwise(F.concat(kept, F.array(x))),
+    )
+    notices = (
+        sure.groupBy("row", "doc_id", "paragraph", "digest")
+        .agg(ranked.alias("ranked"))
+        .select("row", "doc_id", "paragraph", "digest", F.explode(standing).alias("n"))
+        .select(
+            "row",
+            "doc_id",
+            F.col("paragraph").alias("number"),
+            "digest",
+            "n.line",
+            "n.last_line",
+            F.col("n.begin").alias("word"),
+            "n.family",
+            (-F.col("n.unsure")).alias("probability"),
+            (-F.col("n.low")).alias("share"),
+        )
+    )
+    return notices, paragraphs
+
+
+def find_notices(
+    documents: DataFrame,
+    model: Model,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    probability: float = PROBABILITY,
+    confirmed: float = CONFIRMED,
+) -> DataFrame:
+    """Notices found: doc_id, line (from 0), paragraph, word (its first one in the paragraph, from
+    1), family, probability, share of the template.
+
+    Paragraphs without any anchor of a template can't hold `confirmed` (above 0) of one and are not
+    looked at further; all others are, whole, however long. Of windows that overlap the one with
+    most of its template stands, so a paragraph may hold several notices. Null and empty texts have
+    no notices. Repeated rows give repeated notices; no documents, none. The model and the templates
+    are fixed in size.
+    """
+    notices, paragraphs = _notices(documents, model, doc_id, text, probability, confirmed)
+    texts = paragraphs.select("row", F.col("paragraph").alias("number"), "lines")
+    return notices.join(texts, ["row", "number"]).select(
+        "doc_id",
+        "line",
+        F.array_join("lines", "\n").alias("paragraph"),
+        "word",
+        "family",
+        "probability",
+        "share",
     )
 
 
@@ -355,11 +532,11 @@ def licences(
     their notices; a null id has none of its own.
     """
     found = (
-        find_notices(documents, model, doc_id, text)
+        _notices(documents, model, doc_id, text, PROBABILITY, CONFIRMED)[0]
         .groupBy("doc_id")
         .agg(
             F.array_sort(F.collect_set("family")).alias("families"),
-            F.count_distinct("line", "paragraph").alias("n_notices"),
+            F.count_distinct("number", "word", "digest").alias("n_notices"),
             F.max("probability").alias("probability"),
         )
     )

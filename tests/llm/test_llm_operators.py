@@ -522,3 +522,19 @@ def test_anchors_lose_no_text(licence_model):
             chosen = licenses.anchors(parts, licence_model.common, 0.5)
             left = [p for p in parts if not set(p.split(" ")) & set(chosen)]
             assert 2 * len(left) < len(parts)
+
+
+@pytest.mark.parametrize("n", [20, 500, 2000])
+def test_notices_in_long_paragraphs(llm, licence_model, n):
+    plain = (SENTENCE + " ") * (n // 16)
+    df, wanted = each_template(llm, lambda t: plain + t + " " + plain)
+    assert {r.doc_id: r.families for r in licenses.licences(df, licence_model).collect()} == wanted
+
+
+def test_several_notices_in_a_line(llm, licence_model):
+    line = "Licensed under CC BY 4.0. " + SENTENCE + ". Released under the MIT License. "
+    df = llm.createDataFrame([(1, line + line), (2, SENTENCE * 50)], "doc_id BIGINT, text STRING")
+    got = {r.doc_id: (r.families, r.n_notices) for r in licenses.licences(df, licence_model).collect()}
+    assert got == {1: (["cc-by", "mit"], 4), 2: ([], 0)}
+    words = sorted(r.word for r in licenses.find_notices(df, licence_model).collect())
+    assert words == [1, 21, 26, 46]
