@@ -1,6 +1,7 @@
 """Licence notices in texts: a trained classifier of paragraphs, confirmed by templates.
 
-Only DataFrame operations and the JVM's machine-learning library run here. Paragraphs are lines.
+Only DataFrame operations and the JVM's machine-learning library run here. Paragraphs are
+lines up to a blank one, or one of marks alone; wrapped lines and comment marks make no difference.
 Features are the different runs of one to three words, hashed; a multinomial logistic regression
 over them tells licence families from other text; a second, one-dimensional one, fitted on variants
 that the first has not seen, turns its margin into the probability that a paragraph is a notice at
@@ -124,6 +125,8 @@ BACKGROUND_DOCUMENTS, BACKGROUND_LINES = 200, 1000
 #: Variants of each template.
 VARIANTS = 24
 PROBABILITY, CONFIRMED = 0.5, 0.5
+#: Marks of comments that are words; others hold no letters.
+MARKS = r"(?i)^\s*(?:rem|dnl)\s"
 #: Words that may stand between those of a template, and words around a notice that are looked at.
 LOOSE, AROUND = 10, 5
 
@@ -289,17 +292,51 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def _paragraphs(documents: DataFrame, doc_id: str, text: str, anchor: list[str]) -> DataFrame:
-    """A row per line with one of the words `anchor`: row, doc_id, paragraph (its number), lines,
-    words, and of each word the line it is in."""
+    """A row per paragraph with one of the words `anchor`: row, doc_id, paragraph (the number of its
+    first line), lines, words, and of each word the line it is in."""
+    # line breaks stay at the end of a line, so that blank lines can be told
     lines = documents.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(doc_id).alias("doc_id"),
-        F.posexplode(F.split(F.col(text).cast("string"), r"[\r\n]+")).alias("paragraph", "body"),
+        F.col(text).cast("string").alias("body"),
+    ).where("body is not null")
+    lines = _once(lines, "every", F.split("body", r"(?<=[\r\n])(?![\r\n])")).drop("body")
+    lines = _once(lines, "filled", F.transform("every", lambda x: x.rlike(r"[\p{L}\p{N}]")))
+    lines = _once(lines, "ends", F.transform("every", lambda x: x.rlike(r"(?>\r\n|\r|\n)[\r\n]")))
+    places = F.sequence(F.lit(1), F.size("every"))
+
+    def at(column: str, i: Column) -> Column:
+        return F.get(column, i - 1)
+
+    starts = F.filter(
+        places,
+        lambda i: at("filled", i) & ((i == 1) | ~at("filled", i - 1) | at("ends", i - 1)),
     )
-    found = lines.select(
-        "row", "doc_id", "paragraph", F.array("body").alias("lines"), words(F.col("body")).alias("words")
-    ).where(F.arrays_overlap("words", F.lit(anchor)))
-    return found.withColumn("owner", F.transform("words", lambda w: F.col("paragraph")))
+    stops = F.filter(
+        places,
+        lambda i: at("filled", i)
+        & ((i == F.size("every")) | at("ends", i) | ~at("filled", i + 1)),
+    )
+    parts = F.transform(
+        F.arrays_zip(starts.alias("a"), stops.alias("z")),
+        lambda p: F.struct(
+            (p.a - 1).alias("paragraph"),
+            F.transform(
+                F.slice("every", p.a, p.z - p.a + 1),
+                lambda x: F.regexp_replace(x, r"[\r\n]+$", ""),
+            ).alias("lines"),
+        ),
+    )
+    found = lines.select("row", "doc_id", F.explode(parts).alias("p")).select("row", "doc_id", "p.*")
+    by_line = F.transform("lines", lambda x: words(F.regexp_replace(x, MARKS, "")))
+    found = _once(found, "by_line", by_line)
+    found = _once(found, "words", F.flatten("by_line")).where(
+        F.arrays_overlap("words", F.lit(anchor))
+    )
+    owner = F.transform(
+        "by_line", lambda x, i: F.array_repeat(F.col("paragraph") + i, F.size(x))
+    )
+    return found.withColumn("owner", F.flatten(owner)).drop("by_line")
 
 
 def _windows(paragraphs: DataFrame, model: Model, anchor: list[str], confirmed: float) -> DataFrame:
@@ -501,8 +538,8 @@ def find_notices(
     probability: float = PROBABILITY,
     confirmed: float = CONFIRMED,
 ) -> DataFrame:
-    """Notices found: doc_id, line (from 0), paragraph, word (its first one in the paragraph, from
-    1), family, probability, share of the template.
+    """Notices found: doc_id, line (from 0, blank ones not counted), paragraph, word (its first one
+    in the paragraph, from 1), family, probability, share of the template.
 
     Paragraphs without any anchor of a template can't hold `confirmed` (above 0) of one and are not
     looked at further; all others are, whole, however long. Of windows that overlap the one with

@@ -1,7 +1,7 @@
 """Each operator against a plain version, and on awkward rows."""
 
 import math
-
+import textwrap
 import zlib
 from collections import Counter
 
@@ -538,3 +538,24 @@ def test_several_notices_in_a_line(llm, licence_model):
     assert got == {1: (["cc-by", "mit"], 4), 2: ([], 0)}
     words = sorted(r.word for r in licenses.find_notices(df, licence_model).collect())
     assert words == [1, 21, 26, 46]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "REM "])
+def test_wrapped_notices(llm, licence_model, mark):
+    def wrapped(template):
+        body = [mark + x for x in textwrap.wrap("aeio ubcd " + template, 72 - len(mark))]
+        return "\r\n".join(["xx", "", *body, mark.rstrip(), "yy"])
+
+    df, wanted = each_template(llm, wrapped)
+    assert {r.doc_id: r.families for r in licenses.licences(df, licence_model).collect()} == wanted
+
+
+def test_lines_of_notices(llm, licence_model):
+    text = "one\n\n\ntwo\n# Released under\n# the MIT License.\n#\n# Licensed under CC BY 4.0.\nthree"
+    df = llm.createDataFrame([(1, text)], "doc_id BIGINT, text STRING")
+    got = licenses.find_notices(df, licence_model).collect()
+    assert sorted((r.line, r.family, r.word) for r in got) == [(2, "mit", 2), (5, "cc-by", 1)]
+    assert {r.paragraph for r in got} == {
+        "two\n# Released under\n# the MIT License.",
+        "# Licensed under CC BY 4.0.\nthree",
+    }
