@@ -2,8 +2,8 @@
 
 A text's byte trigrams are drawn from a mixture of the languages' trigram distributions; EM finds
 the proportions that make the text likeliest. The set of languages is the one of the nested sets
-(likeliest language alone, the two largest, the three largest ...) with the best log likelihood less
-a penalty for each language, and the prediction is its largest member.
+(likeliest language alone, the two largest, and so on up to all) with the best log likelihood less a
+penalty for each language, and the prediction is its largest member.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ CELLS = 1 << 22
 MOST_LANGUAGES = 1000
 SMOOTHING = 0.5
 ROUNDS = 15
-SET_SIZE = 3
 #: Log likelihood a further language must add, for each trigram of the text (natural log).
 PENALTY = 0.02
 UNKNOWN = "und"
@@ -149,26 +148,47 @@ def proportions(
 
 
 def decide(
-    log_likely: np.ndarray, n: np.ndarray, starts: np.ndarray, penalty: float, set_size: int
+    log_likely: np.ndarray,
+    n: np.ndarray,
+    starts: np.ndarray,
+    penalty: float,
+    set_size: int | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text: proportions over all languages, proportions over its set, the prediction."""
+    """For each text: proportions over all languages, proportions over its set, the prediction.
+
+    Larger sets are tried while any mixture at all could still be worth their penalty; set_size is
+    the most languages of a set, None for all.
+    """
     texts, languages = len(starts), log_likely.shape[1]
     total = np.add.reduceat(n, starts)
     alone = np.add.reduceat(log_likely * n[:, None], starts)
     likely = np.exp(log_likely - log_likely.max(axis=1, keepdims=True))
     offset = np.add.reduceat(n * log_likely.max(axis=1), starts)
-    full, _ = proportions(likely, n, starts, np.full((texts, languages), 1 / languages))
+    full, most = proportions(likely, n, starts, np.full((texts, languages), 1 / languages))
+    sizes = np.diff(np.append(starts, len(n)))
+    each = np.einsum("ij,ij->i", likely, np.repeat(full, sizes, axis=0))
+    slope = np.add.reduceat(likely * (n / each)[:, None], starts).max(axis=1) / total
+    # no mixture is likelier: by Jensen, it gains at most the logarithm of the steepest slope
+    most = most + offset + total * np.log(np.maximum(slope, 1)) + 1e-9 * np.abs(offset)
     best = np.zeros((texts, languages))
     best[np.arange(texts), alone.argmax(axis=1)] = 1
     value = alone.max(axis=1) - penalty * total
     order = np.argsort(-full, axis=1, kind="stable")
-    for k in range(2, min(set_size, languages) + 1):
-        chosen = np.zeros((texts, languages))
-        np.put_along_axis(chosen, order[:, :k], 1 / k, axis=1)
+    going = np.arange(texts)
+    for k in range(2, min(set_size or languages, languages) + 1):
+        still = most[going] - k * penalty * total[going] > value[going]
+        if not still.all():
+            rows = np.repeat(still, sizes[going])
+            likely, n, going = likely[rows], n[rows], going[still]
+            starts = np.cumsum(sizes[going]) - sizes[going]
+        if not len(going):
+            break
+        chosen = np.zeros((len(going), languages))
+        np.put_along_axis(chosen, order[going, :k], 1 / k, axis=1)
         share, reached = proportions(likely, n, starts, chosen)
-        reached = reached + offset - k * penalty * total
-        better = reached > value
-        best[better], value[better] = share[better], reached[better]
+        reached = reached + offset[going] - k * penalty * total[going]
+        better = reached > value[going]
+        best[going[better]], value[going[better]] = share[better], reached[better]
     return full, best, best.argmax(axis=1)
 
 
@@ -178,7 +198,7 @@ def identify(
     doc_id: str = "doc_id",
     text: str = "text",
     penalty: float = PENALTY,
-    set_size: int = SET_SIZE,
+    set_size: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of documents: doc_id, the columns of `keep`, lang_pred, score, languages and

@@ -559,3 +559,24 @@ def test_lines_of_notices(llm, licence_model):
         "two\n# Released under\n# the MIT License.",
         "# Licensed under CC BY 4.0.\nthree",
     }
+
+
+def test_texts_in_many_languages(llm):
+    letters = ["abcde", "fghij", "klmno", "pqrst", "uvwxy", "zäöüß"]
+    random = np.random.default_rng(5)
+
+    def text(of):
+        return " ".join("".join(random.choice(list(of), 5)) for _ in range(80))
+
+    df = llm.createDataFrame(
+        [(f"l{k}", text(x)) for k, x in enumerate(letters) for _ in range(5)], "lang STRING, text STRING"
+    )
+    model = languages.learn(df)
+    mixed = llm.createDataFrame(
+        [(k, " ".join(text(x) for x in letters[:k])) for k in range(1, 7)], "doc_id INT, text STRING"
+    )
+    for r in languages.identify(mixed, model).collect():
+        assert sorted(r.languages) == model[0][: r.doc_id]
+        assert sum(r.proportions) == pytest.approx(1)
+    for r in languages.identify(mixed, model, set_size=3).collect():
+        assert len(r.languages) <= 3
