@@ -144,14 +144,14 @@ def fit(
 ) -> Model:
     """Fit on labels (0 or 1) of documents, `sample_rows` of them at most, chosen by hash of the id.
 
-    The sample is drawn from the labels alone; its ids, a bounded number, are sent to the documents,
-    which are not shuffled. Null texts or labels are left out, as are labels without a document; an
+    The sample is drawn from the labels that have a document with a text; its ids, a bounded number,
+    are sent to the documents, of which no text is shuffled. Null texts or labels are left out, as are labels without a document; an
     id that repeats counts each time. Without labelled documents every score is 0.5.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in small(batches):
-            table = np.minimum(rows_of_terms(rows.column("_body")), 65535).astype("<u2")
+            table = rows_of_terms(rows.column("_body")).astype("<u4")
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x.tobytes() for x in table], pa.binary()),
@@ -161,6 +161,9 @@ def fit(
                 names=["terms", "label", "order"],
             )
 
+    texts = documents.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("_body")).where(
+        "_body is not null"
+    )
     chosen = (
         labels.select(
             F.col(doc_id).alias("id"),
@@ -168,24 +171,24 @@ def fit(
             F.xxhash64(F.col(doc_id).cast("string")).alias("order"),
         )
         .where("id is not null and label is not null")
+        .join(texts.select("id").distinct(), "id", "left_semi")
         .orderBy("order", "label")
         .limit(sample_rows)
     )
-    sample = (
-        documents.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("_body"))
-        .where("_body is not null")
-        .join(F.broadcast(chosen), "id")
-        .select("_body", "label", "order")
+    sample = texts.join(F.broadcast(chosen), "id").select("_body", "label", "order")
+    rows = (
+        sample.mapInArrow(work, "terms BINARY, label INT, order BIGINT")
+        .orderBy("order", "label", "terms")
+        .limit(sample_rows)
+        .toArrow()
     )
-    rows = sample.mapInArrow(work, "terms BINARY, label INT, order BIGINT").toArrow()
     rows = rows.sort_by([("order", "ascending"), ("label", "ascending"), ("terms", "ascending")])
-    rows = rows.slice(0, sample_rows)
     if not rows.num_rows:
         none = np.zeros((0, dimensions), np.float32)
         return Model(np.zeros(TERMS), np.zeros((TERMS, dimensions)), none, np.zeros(0), 0.5)
     labels_ = rows.column("label").to_numpy().astype(float)
     terms = b"".join(x.as_buffer().to_pybytes() for x in rows.column("terms"))
-    table = np.frombuffer(terms, "<u2").reshape(len(labels_), TERMS)
+    table = np.frombuffer(terms, "<u4").reshape(len(labels_), TERMS)
     rarity = np.log(1 + len(labels_) / (1 + (table > 0).sum(axis=0)))
     x = weighted(table, rarity)
     # randomised range finder with two power steps

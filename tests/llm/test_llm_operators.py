@@ -580,3 +580,15 @@ def test_texts_in_many_languages(llm):
         assert sum(r.proportions) == pytest.approx(1)
     for r in languages.identify(mixed, model, set_size=3).collect():
         assert len(r.languages) <= 3
+
+
+def test_quality_sample_is_of_labels_with_texts(llm, corpus):
+    labels = corpus.select("doc_id", "quality")
+    strange = llm.range(10_000, 12_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    empty = strange.select("doc_id", F.lit(None).cast("string").alias("text"))
+    documents = corpus.select("doc_id", "text").unionByName(empty.limit(1000))
+    alone = quality.fit(documents, labels, sample_rows=20)
+    more = quality.fit(documents, labels.unionByName(strange, True), sample_rows=20)
+    assert len(alone.labels) == 20 and alone.labels.tolist() == more.labels.tolist()
+    often = documents.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(5)))).drop("copy")
+    assert len(quality.fit(often, labels, sample_rows=20).labels) == 20
