@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -68,3 +68,21 @@ def boundaries(batch: pa.RecordBatch | pa.Table, keys: list[str]) -> np.ndarray:
         ) else batch.column(k).to_numpy()
         new[1:] |= values[1:] != values[:-1]
     return np.flatnonzero(new)
+
+
+def with_lookup(df: DataFrame, small: DataFrame, keys: list[str], spread: Column, salts: int) -> DataFrame:
+    """df joined with one row of `small` for each key, null keys being equal to each other.
+
+    The rows of a key are spread over `salts` parts by `spread`, and `small` is repeated for each,
+    so that a key with very many rows is no single task where the join shuffles.
+    """
+    salted = df.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+    copies = small.select(
+        *(F.col(k).alias(f"_{k}") for k in keys),
+        *(c for c in small.columns if c not in keys),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy"),
+    )
+    on = F.col("_salt") == F.col("_copy")
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return salted.join(copies, on).drop("_salt", "_copy", *(f"_{k}" for k in keys))

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from footfall.llm import (
     brown,
+    codes,
     decontaminate,
+    divergence,
     frames,
     languages,
     licenses,
+    neighbours,
     pieces,
     quality,
     shards,
@@ -151,6 +154,21 @@ def op9_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_segment_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language differ, and by which terms."""
+    return divergence.audit(_read(spark, sf_dir, "documents"))
+
+
+def op12_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of every twentieth one."""
+    return neighbours.nearest_vectors(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_sequency_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as codes of four bytes."""
+    return codes.quantised(_read(spark, sf_dir, "embeddings"))
+
+
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(f)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +192,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_licence_paragraphs,
             op9_karmarkar_karp,
             op10_language_mixture,
+            op11_segment_trees,
+            op12_learned_partitions,
+            op13_sequency_codes,
         )
     }
 

@@ -29,6 +29,8 @@ def table(separators: list[range]) -> np.ndarray:
 WHITE = table([range(0x20, 0x21), range(0x09, 0x0E)])
 #: [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
 NOT_ALNUM = table([range(0x00, 0x30), range(0x3A, 0x61), range(0x7B, 0x80)])
+#: [^\x00-\x40\x5B-\x60\x7B-\x7F]+
+NOT_LETTERS = table([range(0x00, 0x41), range(0x5B, 0x61), range(0x7B, 0x80)])
 # --- end of fixed values --------------------------------------------------------------------
 
 LOWER = np.arange(256, dtype=np.uint8)
