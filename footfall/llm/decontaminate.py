@@ -131,15 +131,17 @@ def windows(benchmark: DataFrame, item_id: str, text: str, size: int = WINDOW) -
 
     chosen = benchmark.select(
         F.col(item_id).cast("string").alias("item_id"), F.col(text).cast("string").alias("text")
-    ).where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+    ).where(F.col("text").isNotNull())
     return chosen.mapInArrow(cut, "item_id STRING, words STRING, n INT").distinct()
 
 
 def search_tables(rows: list) -> list[Patterns]:
-    """Tables of one block of windows, a set for each length."""
+    """Tables of one block of windows, a set for each length; a null id is listed for none."""
     lengths: dict[int, dict[str, list[str]]] = {}
     for row in rows:
-        lengths.setdefault(row.n, {}).setdefault(row.words, []).append(row.item_id)
+        named = lengths.setdefault(row.n, {}).setdefault(row.words, [])
+        if row.item_id is not None:
+            named.append(row.item_id)
     return [
         Patterns(n, [p.encode() for p in by], list(by.values())) for n, by in sorted(lengths.items())
     ]
@@ -162,8 +164,8 @@ def find_benchmark(
     The windows are searched in blocks of bounded size, each against all documents. Within a block
     rows map to rows. Several blocks are put together by (row, digest of the text).
 
-    A null text has no words. Null item ids and items without words are left out; equal windows
-    count for all items that have them. Repeated rows are judged each on its own. Without documents
+    A null text has no words. Items without words are left out; the words of an item with a null id
+    are hit like any others, but it is not listed. Equal windows count for all items that have them. Repeated rows are judged each on its own. Without documents
     the result is empty; without a benchmark nothing is hit.
     """
     spark = documents.sparkSession

@@ -12,7 +12,7 @@ _WORDS = rf"coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F
 DECONTAMINATION = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 items AS (SELECT item_id, w, least(13, len(w)) AS m FROM (SELECT item_id, {_WORDS} AS w FROM benchmark)
-          WHERE item_id IS NOT NULL AND len(w) > 0),
+          WHERE len(w) > 0),
 windows AS (SELECT DISTINCT item_id, m, list_slice(w, k, k + m - 1) AS part
             FROM (SELECT item_id, w, m, unnest(range(1, CAST(len(w) - m + 2 AS BIGINT))) AS k FROM items)),
 places AS (SELECT doc_id, m, k, list_slice(w, k, k + m - 1) AS part

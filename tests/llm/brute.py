@@ -24,8 +24,10 @@ def decontaminated(documents: list[tuple], benchmark: list[tuple]) -> list[tuple
     for item, text in benchmark:
         words = alnum_words(text)
         n = min(13, len(words))
-        for k in range(len(words) - n + 1 if n and item is not None else 0):
-            windows.setdefault(tuple(words[k : k + n]), set()).add(str(item))
+        for k in range(len(words) - n + 1 if n else 0):
+            named = windows.setdefault(tuple(words[k : k + n]), set())
+            if item is not None:
+                named.add(str(item))
     sizes = {len(w) for w in windows}
     out = []
     for doc, text in documents:
@@ -34,7 +36,7 @@ def decontaminated(documents: list[tuple], benchmark: list[tuple]) -> list[tuple
         for n in sizes:
             for k in range(len(words) - n + 1):
                 found = windows.get(tuple(words[k : k + n]))
-                if found:
+                if found is not None:
                     items |= found
                     hit[k : k + n] = [True] * n
         listed = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

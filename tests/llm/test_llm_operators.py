@@ -83,6 +83,8 @@ BENCHMARK = [
     (6, None),
     (7, "..."),
     (None, "quick"),
+    (None, " ".join(GERMAN.split()[1:])),
+    (8, "quick"),
 ]
 
 
