@@ -89,7 +89,11 @@ def rows_of_terms(column: pa.Array) -> np.ndarray:
 
 def weighted(table: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Log frequencies by rarity, each group of terms at unit length."""
-    out = np.log1p(table.astype(np.float32))
+    return _scaled(np.log1p(table.astype(np.float32)), rarity)
+
+
+def _scaled(out: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """The same from log frequencies, in place."""
     out *= rarity.astype(np.float32)
     at = 0
     for size in GROUPS:
@@ -133,6 +137,17 @@ def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield part.slice(at, ROWS)
 
 
+def _packed(row: np.ndarray) -> bytes:
+    """The terms that occur, two bytes each, and their counts, four bytes each."""
+    some = np.flatnonzero(row)
+    return some.astype("<u2").tobytes() + row[some].astype("<u4").tobytes()
+
+
+def _unpacked(packed: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    n = packed.size // 6
+    return np.frombuffer(packed, "<u2", n), np.frombuffer(packed, "<u4", n, 2 * n)
+
+
 def fit(
     documents: DataFrame,
     labels: DataFrame,
@@ -145,16 +160,17 @@ def fit(
     """Fit on labels (0 or 1) of documents, `sample_rows` of them at most, chosen by hash of the id.
 
     The sample is drawn from the labels that have a document with a text; its ids, a bounded number,
-    are sent to the documents, of which no text is shuffled. Null texts or labels are left out, as are labels without a document; an
-    id that repeats counts each time. Without labelled documents every score is 0.5.
+    are sent to the documents, of which no text is shuffled. Only the terms that a text has come to
+    the driver. Null texts or labels are left out, as are labels without a document; an id that
+    repeats counts each time. Without labelled documents every score is 0.5.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in small(batches):
-            table = rows_of_terms(rows.column("_body")).astype("<u4")
+            table = rows_of_terms(rows.column("_body"))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([x.tobytes() for x in table], pa.binary()),
+                    pa.array([_packed(x) for x in table], pa.binary()),
                     rows.column("label"),
                     rows.column("order"),
                 ],
@@ -182,15 +198,19 @@ def fit(
         .limit(sample_rows)
         .toArrow()
     )
-    rows = rows.sort_by([("order", "ascending"), ("label", "ascending"), ("terms", "ascending")])
     if not rows.num_rows:
         none = np.zeros((0, dimensions), np.float32)
         return Model(np.zeros(TERMS), np.zeros((TERMS, dimensions)), none, np.zeros(0), 0.5)
     labels_ = rows.column("label").to_numpy().astype(float)
-    terms = b"".join(x.as_buffer().to_pybytes() for x in rows.column("terms"))
-    table = np.frombuffer(terms, "<u4").reshape(len(labels_), TERMS)
-    rarity = np.log(1 + len(labels_) / (1 + (table > 0).sum(axis=0)))
-    x = weighted(table, rarity)
+    # the one dense matrix; all that is done to it is done in place
+    x, held = np.zeros((len(labels_), TERMS), np.float32), np.zeros(TERMS)
+    for row, packed in zip(x, rows.column("terms"), strict=True):
+        term, count = _unpacked(packed.as_buffer())
+        row[term] = np.log1p(count.astype(np.float32))
+        held[term] += 1
+    del rows
+    rarity = np.log(1 + len(labels_) / (1 + held))
+    _scaled(x, rarity)
     # randomised range finder with two power steps
     basis = np.random.default_rng(7).standard_normal((x.shape[1], dimensions + 16), np.float32)
     for _ in range(3):
