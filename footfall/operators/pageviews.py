@@ -19,8 +19,8 @@ def fct_page_views(sessionized: DataFrame) -> DataFrame:
     `seconds_on_page` is the time to the next page view of the session; the last
     one has no next, so it is the exit page and its dwell time is null, not zero.
 
-    Runs in the partitioning and order that `sessionize` left, so nothing is
-    shuffled or sorted again.
+    Page views are numbered in the partitioning and order that `sessionize` left. Only
+    those of visitors cut into slices are looked at again, for what a slice leaves open.
     """
     views = sessionized.where((F.col("event_name") == "page_view") & F.col("page_path").isNotNull())
     in_order = Window.partitionBy("anonymous_id", SLICE).orderBy("occurred_at", "event_id")
@@ -37,7 +37,9 @@ def fct_page_views(sessionized: DataFrame) -> DataFrame:
         "_seq", F.col("_row") - first_row.over(in_order.rowsBetween(*SO_FAR)) + 1
     )
 
-    joined = views.join(_across_slices(views), ["anonymous_id", SLICE], "left")
+    cut = views.where(F.col(SLICE).isNotNull())
+    # at most a row for each slice
+    joined = views.join(F.broadcast(_across_slices(cut)), ["anonymous_id", SLICE], "left")
     seq = F.col("_seq") + F.when(
         F.col("session_id") == F.col("_head"), F.col("_views_before")
     ).otherwise(F.lit(0))

@@ -29,8 +29,9 @@ def sessionize(
     continues it. `tie` orders events of the same time.
 
     All columns are kept, so later steps need no join back to the events. The rows
-    are dealt once by range and stored with their slice, then shuffled once by
-    (visitor, slice) and sorted once; `parts` is the number of ranges.
+    are shuffled once by (visitor, slice) and sorted once; `parts` is the number of
+    parts of which no visitor's slice is much larger than one. Only visitors cut into
+    slices are stitched, from a row for each slice.
     """
     if timeout_minutes <= 0:
         raise ValueError("timeout_minutes must be positive")
@@ -39,9 +40,10 @@ def sessionize(
     numbered = _local_sessions(
         add_slices(events, visitor, ts, tie, parts), timeout, visitor, ts, tie
     )
-    carry = _carried_sessions(numbered, timeout, visitor, ts)
+    cut = numbered.where(F.col(SLICE).isNotNull())
+    carry = _carried_sessions(cut, timeout, visitor, ts)  # at most a row for each cut
 
-    joined = numbered.join(carry, [visitor, SLICE], "left")
+    joined = numbered.join(F.broadcast(carry), [visitor, SLICE], "left")
     # Only a slice's first session can belong to the slice before.
     continued = (F.col("_local.row") == 1) & F.col("_carry_start").isNotNull()
     started = F.when(continued, F.col("_carry_start")).otherwise(F.col("_local.at"))
