@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 
 from footfall import schema
 from footfall.functions.keys import hyphenate
-from footfall.functions.timestamps import is_blank, parse_iso8601
+from footfall.functions.timestamps import USUAL, is_blank, parse_iso8601
 
 HEX_32 = "^[0-9a-f]{32}$"
+CANONICAL_UUID = "^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 WITH_PRODUCT = ["product_view", "add_to_cart"]
 WITH_ORDER = ["purchase"]
+#: What is read of a document at once.
+READ = (
+    "STRUCT<event_id: STRING, event_name: STRING, anonymous_id: STRING, occurred_at: STRING, "
+    "product: STRUCT<product_id: STRING>, order: STRUCT<order_id: STRING, revenue_usd: VARIANT>>"
+)
 ENVELOPE = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
@@ -73,6 +79,9 @@ def validate_events(messages: DataFrame) -> DataFrame:
 
     `error` is null for a valid event; otherwise it is the first rule that failed,
     and the event columns are null. Input: `from_log(...)`; all its columns stay.
+
+    Messages in the usual form are found valid by a few cheap tests on one read of the
+    document; only what fails any of them is judged rule by rule.
     """
     columns = messages.columns
     raw = messages.withColumn(
@@ -80,57 +89,114 @@ def validate_events(messages: DataFrame) -> DataFrame:
     )
     # Parsed as the first item of a list whose second is the text's own hash, so
     # that anything after the document, or a list end inside it, is noticed.
-    mark = F.md5("text")
+    mark = F.xxhash64("text")
     parsed = raw.withColumn(
         "doc",
-        F.try_parse_json(F.concat(F.lit("["), F.col("text"), F.lit(',"'), mark, F.lit('"]'))),
+        F.try_parse_json(F.concat(F.lit("["), F.col("text"), F.lit(","), mark.cast("string"), F.lit("]"))),
     )
+    read = parsed.select(
+        *columns,
+        "text",
+        "doc",
+        F.try_variant_get("doc", "$[1]", "bigint").eqNullSafe(mark).alias("is_json"),
+        F.try_variant_get("doc", "$[0]", READ).alias("read"),
+    ).withColumn("usual", F.coalesce(F.col("is_json") & _in_usual_form(), F.lit(False)))
 
-    def field(path: str, kind: str = "string") -> Column:
-        return F.try_variant_get("doc", f"$[0]{path}", kind)
-
-    def only_for(names: list[str], column: Column) -> Column:
-        return F.when(field(".event_name").isin(names), column)
+    usual = F.col("usual")
+    doubtful = F.when(~usual, F.array(F.struct("message_value", "text", "doc", "is_json")))
+    checked = read.withColumn("judged", F.get(F.transform(F.transform(doubtful, _fields), _judged), 0))
+    error = F.col("judged.error")
+    valid = usual | error.isNull()
 
-    def type_of(path: str) -> Column:
-        return F.schema_of_variant(field(path, "variant"))
+    def either(name: str, read_: Column) -> Column:
+        return F.when(usual, read_).when(valid, F.col(f"judged.{name}")).alias(name)
 
-    product, order = ".product.product_id", ".order.order_id"
-    revenue = ".order.revenue_usd"
-    fields = parsed.select(
-        *columns,
-        "text",
-        F.try_variant_get("doc", "$[1]", "string").eqNullSafe(mark).alias("is_json"),
-        field(".event_id").alias("id"),
-        field(".event_name").alias("name"),
-        field(".anonymous_id").alias("visitor"),
-        field(".occurred_at").alias("at"),
-        only_for(WITH_PRODUCT, field(product)).alias("product"),
-        only_for(WITH_PRODUCT, type_of(product)).alias("product_type"),
-        only_for(WITH_ORDER, field(order)).alias("order"),
-        only_for(WITH_ORDER, type_of(order)).alias("order_type"),
-        only_for(WITH_ORDER, field(revenue)).alias("revenue"),
-        only_for(WITH_ORDER, type_of(revenue)).alias("revenue_type"),
-    ).withColumns({"hex": _uuid_hex(F.col("id")), "instant": parse_iso8601(F.col("at"))})
-
-    checked = fields.withColumn("error", _first_failure())
-    valid = F.col("error").isNull()
     event = F.struct(
-        F.when(valid, hyphenate(F.col("hex"))).alias("event_id"),
-        F.when(valid, F.col("name")).alias("event_name"),
-        F.when(valid, F.col("visitor")).alias("anonymous_id"),
-        F.when(valid, F.col("instant")).alias("occurred_at"),
+        either("event_id", F.col("read.event_id")),
+        either("event_name", F.col("read.event_name")),
+        either("anonymous_id", F.col("read.anonymous_id")),
+        either("occurred_at", F.col("read.occurred_at").try_cast("timestamp")),
         F.when(valid, F.col("text")).alias("payload"),
-        "error",
+        error.alias("error"),
     )
     # Unpacked from a list of one: a later filter on `error` stays above this, and
     # the document is parsed once per row and not again inside the filter.
     return checked.select(*columns, F.inline(F.array(event)))
 
 
-def _given(value: str, kind: str) -> Column:
+def _fields(message: Column) -> Column:
+    """What the rules look at, of a message that is not in the usual form.
+
+    Evaluated in a function over a list, as is `_judged`: it stays out of the code generated for
+    all rows, which would otherwise be too long to be compiled.
+    """
+
+    def field(path: str, kind: str = "string") -> Column:
+        return F.try_variant_get(message["doc"], f"$[0]{path}", kind)
+
+    def type_of(path: str) -> Column:
+        return F.schema_of_variant(field(path, "variant"))
+
+    product, order, revenue = ".product.product_id", ".order.order_id", ".order.revenue_usd"
+    id_, at = field(".event_id"), field(".occurred_at")
+    return F.struct(
+        message["message_value"].alias("message_value"),
+        message["text"].alias("text"),
+        message["is_json"].alias("is_json"),
+        id_.alias("id"),
+        field(".event_name").alias("name"),
+        field(".anonymous_id").alias("visitor"),
+        at.alias("at"),
+        field(product).alias("product"),
+        type_of(product).alias("product_type"),
+        field(order).alias("order"),
+        type_of(order).alias("order_type"),
+        field(revenue).alias("revenue"),
+        type_of(revenue).alias("revenue_type"),
+        _uuid_hex(id_).alias("hex"),
+        parse_iso8601(at).alias("instant"),
+    )
+
+
+def _judged(f: Column) -> Column:
+    """The first rule that failed, and the event's columns as far as they could be read."""
+    return F.struct(
+        _first_failure(f).alias("error"),
+        hyphenate(f["hex"]).alias("event_id"),
+        f["name"].alias("event_name"),
+        f["visitor"].alias("anonymous_id"),
+        f["instant"].alias("occurred_at"),
+    )
+
+
+def _in_usual_form() -> Column:
+    """Surely valid: texts as producers write them. Null or false says nothing yet."""
+
+    def text(name: str) -> Column:
+        return F.col(f"read.{name}")
+
+    def named(name: str) -> Column:
+        # begins with a letter, so it is neither blank nor a number, list or object
+        return text(name).rlike("^[A-Za-z]") & (text(name) != "false")
+
+    amount = text("order.revenue_usd")
+    owed = F.schema_of_variant(amount).rlike("^(BIGINT|DECIMAL|DOUBLE)") & (
+        F.try_variant_get(amount, "$", "double") >= 0
+    )
+    name = text("event_name")
+    return (
+        name.isin(schema.EVENT_NAMES)
+        & text("event_id").rlike(CANONICAL_UUID)
+        & text("anonymous_id").rlike("^[!-~]")
+        & text("occurred_at").rlike(USUAL)
+        & text("occurred_at").try_cast("timestamp").isNotNull()
+        & (~name.isin(WITH_PRODUCT) | named("product.product_id"))
+        & (~name.isin(WITH_ORDER) | (named("order.order_id") & owed))
+    )
+
+
+def _given(text: Column, type_: Column) -> Column:
     """Present and not empty, zero, false or an empty list or object."""
-    text, type_ = F.col(value), F.col(kind)
     empty = (text == "") | (
         (type_ != "STRING")
         & (text.isin("false", "[]", "{}") | F.coalesce(text.try_cast("double") == 0, F.lit(False)))
@@ -138,31 +204,31 @@ def _given(value: str, kind: str) -> Column:
     return text.isNotNull() & ~empty
 
 
-def _first_failure() -> Column:
+def _first_failure(f: Column) -> Column:
     def missing(column: str) -> Column:
-        return F.col(column).isNull() | is_blank(F.col(column))
+        return f[column].isNull() | is_blank(f[column])
 
     def required(name: str) -> str:
         return f"missing required field '{name}'"
 
-    name, needs = F.col("name"), F.lit(" requires product.product_id")
-    amount = F.col("revenue").try_cast("double")
-    is_number = F.col("revenue_type").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
+    name, needs = f["name"], F.lit(" requires product.product_id")
+    amount = f["revenue"].try_cast("double")
+    is_number = f["revenue_type"].rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)")
     # a true or false counts as a number and is not negative
     owed = F.coalesce(is_number, F.lit(False)) & ~F.coalesce(amount < 0, F.lit(False))
     shown = (
-        F.when(F.col("revenue").isNull(), "None")
-        .when(F.col("revenue_type") == "STRING", quoted(F.col("revenue")))
-        .otherwise(F.col("revenue"))
+        F.when(f["revenue"].isNull(), "None")
+        .when(f["revenue_type"] == "STRING", quoted(f["revenue"]))
+        .otherwise(f["revenue"])
     )
     # The reason texts.
     return (
-        F.when(F.col("message_value").isNull(), "message value is empty (tombstone?)")
-        .when(F.col("text").isNull(), "message value is not UTF-8")
-        .when(~F.col("is_json"), "message value is not valid JSON")
+        F.when(f["message_value"].isNull(), "message value is empty (tombstone?)")
+        .when(f["text"].isNull(), "message value is not UTF-8")
+        .when(~f["is_json"], "message value is not valid JSON")
         .when(
-            _kind(F.col("text")) != "dict",
-            F.concat(F.lit("expected a JSON object, got "), _kind(F.col("text"))),
+            _kind(f["text"]) != "dict",
+            F.concat(F.lit("expected a JSON object, got "), _kind(f["text"])),
         )
         .when(missing("name"), required("event_name"))
         .when(
@@ -170,21 +236,21 @@ def _first_failure() -> Column:
         )
         .when(missing("id"), required("event_id"))
         .when(
-            F.col("hex").isNull(),
-            F.concat(F.lit("event_id is not a UUID: "), quoted(F.col("id"))),
+            f["hex"].isNull(),
+            F.concat(F.lit("event_id is not a UUID: "), quoted(f["id"])),
         )
         .when(missing("visitor"), required("anonymous_id"))
         .when(missing("at"), required("occurred_at"))
         .when(
-            F.col("instant").isNull(),
-            F.concat(F.lit("occurred_at is not ISO-8601: "), quoted(F.col("at"))),
+            f["instant"].isNull(),
+            F.concat(F.lit("occurred_at is not ISO-8601: "), quoted(f["at"])),
         )
         .when(
-            name.isin(WITH_PRODUCT) & ~_given("product", "product_type"),
+            name.isin(WITH_PRODUCT) & ~_given(f["product"], f["product_type"]),
             F.concat(name, needs),
         )
         .when(
-            name.isin(WITH_ORDER) & ~_given("order", "order_type"),
+            name.isin(WITH_ORDER) & ~_given(f["order"], f["order_type"]),
             "purchase requires order.order_id",
         )
         .when(
