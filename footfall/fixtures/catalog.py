@@ -94,10 +94,17 @@ def _judged(spark: SparkSession, d: str) -> DataFrame:
     return messages.validate_events(late)
 
 
+def _stored(spark: SparkSession, d: str) -> DataFrame:
+    """Validated messages without their texts, stored because they are read several times."""
+    return stage(_judged(spark, d).drop("message_key", "message_value", "payload"), "validated")
+
+
+def _first(validated: DataFrame) -> DataFrame:
+    return messages.first_offset(validated.where(F.col("error").isNull()).drop("error", "kafka_topic"))
+
+
 def _winners(spark: SparkSession, d: str) -> DataFrame:
-    return messages.first_offset(
-        messages.valid_events(_judged(spark, d).where(F.col("error").isNull()))
-    ).drop("payload", "kafka_topic")
+    return _first(_stored(spark, d))
 
 
 # --- ingest -------------------------------------------------------------------
@@ -132,7 +139,8 @@ def land_anti_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _batches(spark: SparkSession, d: str) -> DataFrame:
-    return messages.ingest_batch_stats(_judged(spark, d), _winners(spark, d))
+    validated = _stored(spark, d)
+    return messages.ingest_batch_stats(validated, _first(validated))
 
 
 def ingest_batch_stats(spark: SparkSession, d: str) -> DataFrame:

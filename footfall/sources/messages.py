@@ -286,19 +286,43 @@ def dead_letters(
     )
 
 
+def _place() -> Column:
+    """A number that orders the copies of a message by offset, then partition."""
+    offset = F.col("kafka_offset").cast("decimal(20,0)")
+    return offset * F.lit(1 << 31).cast("decimal(11,0)") + F.col("kafka_partition")
+
+
 def first_offset(events: DataFrame) -> DataFrame:
     """One row per event_id: the copy with the lowest offset (then partition).
 
-    An aggregate and not a window: copies of one message are combined before the
-    shuffle, so a message delivered a billion times is no hot partition.
+    Ids that came more than once are found from numbers alone; a row is dropped if its id is among
+    them and its place is not the first. Where they are few, as is usual, no payload is shuffled,
+    and a message delivered a billion times is no hot partition. `events` is read more than once,
+    so store or persist what is dear to compute. Copies with the same offset and partition, as in
+    several topics, are told apart by a hash of the row.
     """
+    placed = events.groupBy("event_id", _place().alias("_place")).agg(F.count(F.lit(1)).alias("n"))
+    # the last bit tells whether several copies have that place
+    marked = F.col("_place") * 2 + (F.col("n") > 1).cast("int")
+    repeated = (
+        placed.groupBy("event_id")
+        .agg(F.sum("n").alias("n"), F.min(marked).alias("_first"))
+        .where("n > 1")
+        .select("event_id", "_first", (F.col("_first") % 2 == 1).alias("_tied"))
+    )
+    is_first = _place() * 2 + F.col("_tied").cast("int") == F.col("_first")
+    single = events.join(repeated, "event_id", "left").where(
+        F.col("_first").isNull() | (~F.col("_tied") & is_first)
+    )
     rest = [c for c in events.columns if c != "event_id"]
-    first = F.min_by(F.struct(*rest), F.struct("kafka_offset", "kafka_partition"))
-    return (
-        events.groupBy("event_id")
-        .agg(first.alias("first"))
+    ties = (
+        events.join(repeated.where("_tied"), "event_id")
+        .where(is_first)
+        .groupBy("event_id")
+        .agg(F.min_by(F.struct(*rest), F.xxhash64(*events.columns)).alias("first"))
         .select(*[c if c == "event_id" else F.col(f"first.{c}").alias(c) for c in events.columns])
     )
+    return single.select(*events.columns).union(ties)
 
 
 def unseen(events: DataFrame, landed: DataFrame) -> DataFrame:

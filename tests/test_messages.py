@@ -194,6 +194,28 @@ def test_first_offset_wins_and_offsets_resume_after_the_last(spark):
     assert (top.max_offset, top.resume_offset) == (2, 3)
 
 
+def test_first_offset_moves_no_payload_and_breaks_ties(spark):
+    from plans import physical
+
+    rows = [
+        ("a", "t", 0, 7, "late"), ("a", "t", 1, 3, "other partition"), ("a", "t", 0, 3, "first"),
+        ("b", "t", 0, 9, "alone"), ("c", "t", 2**31 - 1, 2**63 - 1, "far"),
+        ("c", "t", 2**31 - 2, 2**63 - 1, "nearer"),
+        ("d", "t", 0, 1, "twice"), ("d", "t", 0, 1, "twice"), ("e", "t", 0, 2, "x"), ("e", "u", 0, 2, "y"),
+    ]
+    df = spark.createDataFrame(
+        rows, "event_id STRING, kafka_topic STRING, kafka_partition INT, kafka_offset BIGINT, payload STRING"
+    )
+    kept = first_offset(df)
+    found = {r.event_id: r.payload for r in kept.collect()}
+    assert kept.count() == 5 and found.pop("e") in ("x", "y")
+    assert found == {"a": "first", "b": "alone", "c": "nearer", "d": "twice"}
+    # texts are sorted for ties alone
+    sorts = [line for line in physical(kept) if "SortAggregate" in line]
+    assert sorts and all("min_by" in line for line in sorts)
+    assert not any("payload" in line for line in physical(kept) if "HashAggregate" in line)
+
+
 def test_publishing_checks_the_same_rules(spark, tmp_path):
     messages = log(spark, [raw(), b"[]", raw(anonymous_id="other")])
     assert tuple(publish_counts(messages).first()) == (2, 1)
