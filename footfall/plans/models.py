@@ -19,6 +19,7 @@ from footfall.operators.staging import INGEST_DATE, flatten_events, incremental_
 from footfall.operators.traffic import daily_traffic
 from footfall.plans import warehouse
 from footfall.plans.checks import CHECKS
+from footfall.streaming.ingest import first_copies
 
 # Events with their session columns, stored once for all that need them.
 WIDE = "stg.sessionized_events"
@@ -70,10 +71,13 @@ def build_models(
     steps: list[str] = schema.FUNNEL_STEPS,
     full_refresh: bool = False,
     raw: DataFrame | None = None,
+    ids: DataFrame | None = None,
 ) -> str:
     """Bring all tables up to date from `raw`; returns the run id in the log.
 
-    `raw` holds the landed events, by default the table raw.events.
+    `raw` holds the landed events, by default the table raw.events. With `ids`, the store's list of
+    landed ids, an event that two streams landed at the same moment is staged once, whichever copy
+    was seen first and on whatever days; without it, once if both copies are in the same slice.
 
     Staging is incremental. Sessions and what follows are rebuilt, because a late
     event can extend or join older sessions. A model that fails is logged and what
@@ -104,8 +108,21 @@ def build_models(
         landed = spark.table("raw.events") if raw is None else raw
         fresh = full_refresh or not spark.catalog.tableExists(STAGED)
         slice_ = incremental_slice(landed, None if fresh else newest_partition(spark))
-        rows = flatten_events(slice_).withColumn(INGEST_DATE, F.to_date("ingested_at"))
-        return warehouse.upsert(rows, STAGED, ["event_id"], full_refresh, partition=INGEST_DATE)
+        later = None
+        if ids is not None:
+            slice_, later = first_copies(slice_, ids)
+        return warehouse.upsert(
+            dated(slice_),
+            STAGED,
+            ["event_id"],
+            full_refresh,
+            partition=INGEST_DATE,
+            order=["ingested_at"],
+            gone=None if later is None else dated(later),
+        )
+
+    def dated(rows: DataFrame) -> DataFrame:
+        return flatten_events(rows).withColumn(INGEST_DATE, F.to_date("ingested_at"))
 
     def sessions_bridge() -> int:
         # written in the layout the page views and sessions read: no second shuffle

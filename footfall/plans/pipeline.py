@@ -23,7 +23,7 @@ def run_pipeline(
     model could be built.
     """
     start_ingest(stream, store, checkpoint, group).awaitTermination()
-    built = build_models(spark, raw=store.events(), **build_options)
+    built = build_models(spark, raw=store.events(), ids=store.ids(), **build_options)
     outcome = spark.table("meta.model_runs").where(
         (F.col("run_id") == built) & (F.col("status") == "success")
     )

@@ -10,6 +10,7 @@ from test_messages import doc
 
 from footfall import schema
 from footfall.operators.reports import recent_batches
+from footfall.plans import models
 from footfall.sources.log import read_event_batch, read_event_stream
 from footfall.streaming import ingest
 from footfall.streaming.ingest import RawStore, batch_number, first_copies, start_ingest
@@ -167,6 +168,45 @@ def test_copies_landed_at_the_same_moment_are_told_from_the_ids(spark, tmp_path,
     assert store.events().count() == 11
 
 
+def test_streams_that_land_the_same_messages_at_once_are_staged_once(
+    spark, databases, tmp_path, monkeypatch
+):
+    store = RawStore(spark, str(tmp_path / "raw"))
+    plain = RawStore._read
+    hidden = lambda self, name, columns, places=None: plain(
+        self, name, columns, [] if name == "ids" else places
+    )
+
+    def landed(stream, numbers, later, number=0):
+        source = str(tmp_path / f"{stream}{number}")
+        write_log(spark, source, [(0, n, event(n)) for n in numbers])
+        monkeypatch.setattr(ingest, "now", lambda: datetime(2024, 3, 1, 23, 59, later))
+        land(store, spark, source, stream, number)
+
+    def staged():
+        models.build_models(spark, raw=store.events(), ids=store.ids())
+        rows = spark.table(models.STAGED).collect()
+        assert len({r.event_id for r in rows}) == len(rows)
+        return {int(r.event_id.replace("-", ""), 16): r.ingested_at.day for r in rows}
+
+    monkeypatch.setattr(RawStore, "_read", hidden)
+    landed("one", range(5), 50)
+    landed("two", range(3, 8), 55)
+    monkeypatch.setattr(ingest, "now", lambda: datetime(2024, 3, 2, 0, 0, 1))
+    source = str(tmp_path / "late")
+    write_log(spark, source, [(0, n, event(n)) for n in range(7, 10)])
+    land(store, spark, source, "three")
+    monkeypatch.setattr(RawStore, "_read", plain)
+    assert store.events().count() == 13
+    assert staged() == {n: 1 if n < 8 else 2 for n in range(10)}
+
+    # a copy that landed first and is seen last
+    monkeypatch.setattr(RawStore, "_read", hidden)
+    landed("four", [9, 10], 58)
+    monkeypatch.setattr(RawStore, "_read", plain)
+    assert staged() == {n: 2 if n == 8 else 1 for n in range(11)}
+
+
 def test_lost_checkpoint_in_the_same_group_is_logged_anew(spark, tmp_path):
     source, store = str(tmp_path / "log"), RawStore(spark, str(tmp_path / "raw"))
     write_log(spark, source, [(0, 0, event(1)), (0, 1, event(2))])

@@ -56,6 +56,65 @@ def test_upsert_on_two_keys(spark, databases):
     assert contents(spark, "stg.two_keys") == [(1, "a", 0), (1, "z", 1)]
 
 
+def test_upsert_loses_no_row_of_the_null_partition(spark, databases):
+    name = "stg.null_partition"
+    rows = [(1, "a", None), (2, "b", None), (3, "c", 1), (4, "d", None)]
+    warehouse.upsert(table(spark, rows), name, ["k"], partition="p")
+    warehouse.upsert(table(spark, [(1, "A", None)]), name, ["k"], partition="p")
+    expected = {(1, "A", None), (2, "b", None), (3, "c", 1), (4, "d", None)}
+    assert {tuple(r) for r in spark.table(name).select("k", "v", "p").collect()} == expected
+    warehouse.upsert(table(spark, [(2, "B", None), (3, "C", 1), (5, "e", 2)]), name, ["k"], partition="p")
+    expected = {(1, "A", None), (2, "B", None), (3, "C", 1), (4, "d", None), (5, "e", 2)}
+    assert {tuple(r) for r in spark.table(name).select("k", "v", "p").collect()} == expected
+
+
+@pytest.mark.parametrize("partition", [None, "p"])
+def test_a_slice_keeps_one_row_of_a_key(spark, databases, partition):
+    name = f"stg.repeated_{partition}"
+    first = [(1, "b", 0), (1, "a", 0), (2, "x", 0), (None, "n", 0), (None, "n", 0)]
+    warehouse.upsert(table(spark, first), name, ["k"], partition=partition, order=["v"])
+    rows = lambda: sorted(map(tuple, spark.table(name).select("k", "v", "p").collect()), key=str)
+    assert rows() == [(1, "a", 0), (2, "x", 0), (None, "n", 0), (None, "n", 0)]
+    again = [(2, "z", 0), (2, "y", 0), (3, "c", 1), (3, "c", 1)]
+    warehouse.upsert(table(spark, again), name, ["k"], partition=partition, order=["v"])
+    assert rows() == [(1, "a", 0), (2, "y", 0), (3, "c", 1), (None, "n", 0), (None, "n", 0)]
+
+
+def test_upsert_removes_copies_from_other_partitions(spark, databases):
+    name = "stg.moved"
+    warehouse.upsert(table(spark, [(1, "late", 5), (2, "b", 4), (3, "c", 5)]), name, ["k"], partition="p")
+    gone = table(spark, [(1, "late", 5), (2, "b", 4)])
+    fresh = table(spark, [(1, "first", 3), (2, "first", 3)])
+    warehouse.upsert(fresh, name, ["k"], partition="p", gone=gone)
+    found = {tuple(r) for r in spark.table(name).select("k", "v", "p").collect()}
+    assert found == {(1, "first", 3), (2, "first", 3), (3, "c", 5)}
+
+
+def test_readers_see_the_old_table_during_a_rebuild(spark, databases):
+    for layout in ({}, {"bucket_by": ["k"]}, {"partition_by": ["p"]}):
+        name = f"stg.read_{len(str(layout))}"
+        old = table(spark, [(1, "old", 0), (2, "old", 1)]).repartition(2)
+        warehouse.materialize_table(old, name, **layout)
+        reader = spark.table(name).toLocalIterator()
+        first = next(reader)
+        writes = []
+
+        def seen(rows, name=name, writes=writes):
+            # what others see while the new rows are being made
+            writes.append(spark.table(name).count())
+            return rows
+
+        fresh = seen(table(spark, [(3, "new", 0)]))
+        assert warehouse.materialize_table(fresh, name, **layout) == 1
+        assert writes == [2] and contents(spark, name) == [(3, "new", 0)]
+        assert sorted([first.k, *(r.k for r in reader)]) == [1, 2]  # begun before, read after
+        assert warehouse.remove_former(spark, name) == 1
+        assert contents(spark, name) == [(3, "new", 0)]
+    # other columns
+    warehouse.materialize_table(spark.range(3), "stg.read_2")
+    assert spark.table("stg.read_2").columns == ["id"]
+
+
 def status_of(spark, run):
     rows = spark.table("meta.model_runs").where(F.col("run_id") == run).collect()
     return {r.model_name: (r.status, r.rows_affected) for r in rows}
