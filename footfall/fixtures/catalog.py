@@ -15,7 +15,7 @@ from footfall.functions.channels import channel
 from footfall.functions.keys import uuid_key
 from footfall.operators import dims, funnel, quality, reports, sessions, staging, traffic
 from footfall.operators.pageviews import fct_page_views
-from footfall.plans import warehouse
+from footfall.plans import models, warehouse
 from footfall.plans.checks import CHECKS
 from footfall.plans.models import marts
 from footfall.session import configure, scratch_path, stage
@@ -94,6 +94,11 @@ def _judged(spark: SparkSession, d: str) -> DataFrame:
     return messages.validate_events(late)
 
 
+def _databases(spark: SparkSession) -> None:
+    """Databases for stored tables, in the scratch folder where they are not there already."""
+    warehouse.create_databases(spark, scratch_path(spark, "warehouse"))
+
+
 def _stored(spark: SparkSession, d: str) -> DataFrame:
     """Validated messages without their texts, stored because they are read several times."""
     return stage(_judged(spark, d).drop("message_key", "message_value", "payload"), "validated")
@@ -193,7 +198,7 @@ def incremental_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 def stored_upsert(spark: SparkSession, d: str) -> DataFrame:
     """The same upsert into a stored table, of which only touched partitions are rewritten."""
-    warehouse.create_databases(spark)
+    _databases(spark)
     name = f"stg.upserted_{uuid.uuid4().hex}"
     day = F.to_date("ingested_at")
     old = _stale(spark, d)
@@ -248,6 +253,10 @@ def dim_visitor(spark: SparkSession, d: str) -> DataFrame:
     return dims.dim_visitor(_stg(spark, d))
 
 
+def dim_visitor_from_sessions(spark: SparkSession, d: str) -> DataFrame:
+    return dims.dim_visitor_from_sessions(_sessions(spark, d), _stg(spark, d))
+
+
 def dim_page(spark: SparkSession, d: str) -> DataFrame:
     return dims.dim_page(_stg(spark, d))
 
@@ -344,24 +353,41 @@ def table_counts(spark: SparkSession, d: str) -> DataFrame:
     return reports.count_relations(named | {"mart.not_built": None})
 
 
-def _runs(rows: DataFrame, hour: int) -> DataFrame:
-    """The rows as logged by two runs, a day apart."""
-    runs = F.array(
-        *[
-            F.struct(
-                F.lit(f"run-{i}").alias("run_id"),
-                F.lit(f"2024-02-0{i} 0{hour}:00:00").cast("timestamp").alias("started_at"),
-                F.lit(f"2024-02-0{i} 0{hour}:05:00").cast("timestamp").alias("finished_at"),
-            )
-            for i in (1, 2)
-        ]
-    )
-    return rows.select("*", F.inline(runs))
+#: Runs logged for the test tables, by application and folder: a failed build, a build, a test.
+_RUNS: dict[tuple[str, str], tuple[str, str, str]] = {}
+
+
+def _logged(spark: SparkSession, d: str) -> tuple[str, str, str]:
+    """Build all models from the test tables, test them, and return the ids of the logged runs.
+
+    The first build reads payloads with a price that is no number, so it fails; the second is whole.
+    """
+    key = (spark.sparkContext.applicationId, d)
+    known = _RUNS.get(key)
+    if known and spark.catalog.tableExists("meta.test_results"):
+        if not spark.table("meta.test_results").where(F.col("run_id") == known[2]).isEmpty():
+            return known
+    _databases(spark)
+    raw = stage(adapter.raw_events(spark, d), "raw_events")
+    bad = raw.withColumn("payload", F.lit('{"product": {"price_usd": "cheap"}}'))
+    failed = models.build_models(spark, DAY, full_refresh=True, raw=bad)
+    built = models.build_models(spark, DAY, full_refresh=True, raw=raw)
+    _RUNS[key] = (failed, built, models.test_models(spark))
+    return _RUNS[key]
 
 
 def last_transform_run(spark: SparkSession, d: str) -> DataFrame:
-    built = F.when(F.col("row_count") > 0, "success").otherwise("failed")
-    return reports.last_transform_run(_runs(_counts(spark, d), 6).withColumn("status", built))
+    """The tallies of the later of two builds, from the log they wrote."""
+    runs = _logged(spark, d)
+    log = spark.table("meta.model_runs").where(F.col("run_id").isin(*runs))
+    return reports.last_transform_run(log).drop("run_id", "started_at", "finished_at")
+
+
+def failed_transform_run(spark: SparkSession, d: str) -> DataFrame:
+    """The models of the build that failed, with what became of each."""
+    failed, *_ = _logged(spark, d)
+    log = spark.table("meta.model_runs").where(F.col("run_id") == failed)
+    return log.select("model_name", "status", "rows_affected")
 
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
@@ -369,12 +395,13 @@ def _results(spark: SparkSession, d: str) -> DataFrame:
 
 
 def last_test_run(spark: SparkSession, d: str) -> DataFrame:
-    logged = _runs(_results(spark, d), 7)
-    return reports.last_test_run(logged.withColumnRenamed("started_at", "executed_at"))
+    runs = _logged(spark, d)
+    log = spark.table("meta.test_results").where(F.col("run_id").isin(*runs))
+    return reports.last_test_run(log).drop("run_id", "executed_at")
 
 
 def failing_tests(spark: SparkSession, d: str) -> DataFrame:
-    return reports.failing_tests(_runs(_results(spark, d), 7), "run-2")
+    return reports.failing_tests(spark.table("meta.test_results"), _logged(spark, d)[2])
 
 
 # --- quality ------------------------------------------------------------------------
@@ -431,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "fct_page_views": page_views,
     "daily_traffic": _daily,
     "dim_visitor": dim_visitor,
+    "dim_visitor_from_sessions": dim_visitor_from_sessions,
     "dim_page": dim_page,
     "dim_product": dim_product,
     "funnel_step_list": funnel_step_list,
@@ -450,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "ingest_overview": ingest_overview,
     "table_counts": table_counts,
     "last_transform_run": last_transform_run,
+    "failed_transform_run": failed_transform_run,
     "last_test_run": last_test_run,
     "failing_tests": failing_tests,
     "dq_not_null": dq_not_null,

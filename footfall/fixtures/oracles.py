@@ -418,6 +418,8 @@ def oracle_sql() -> dict[str, str]:
         # dimensions
         "dim_visitor": _plain(
             "* REPLACE (CAST(lifetime_revenue_usd AS DOUBLE) AS lifetime_revenue_usd)", "visitors"),
+        "dim_visitor_from_sessions": _plain(
+            "* REPLACE (CAST(lifetime_revenue_usd AS DOUBLE) AS lifetime_revenue_usd)", "visitors"),
         "dim_page": _plain("*", "pages_dim"),
         "dim_product": _plain(
             "* REPLACE (CAST(latest_price_usd AS DOUBLE) AS latest_price_usd, "
@@ -480,14 +482,16 @@ def oracle_sql() -> dict[str, str]:
         "table_counts": _query(
             f"{COUNTS} UNION ALL SELECT 'mart.not_built', NULL", *ALL_RELATIONS),
         "last_transform_run": _query(
-            "SELECT 'run-2' AS run_id, TIMESTAMP '2024-02-02 06:00:00' AS started_at, "
-            "TIMESTAMP '2024-02-02 06:05:00' AS finished_at, count(*) AS models, "
-            "count(*) FILTER (WHERE row_count > 0) AS succeeded, count(*) FILTER (WHERE row_count = 0) AS failed, "
+            "SELECT count(*) AS models, count(row_count) AS succeeded, CAST(0 AS BIGINT) AS failed, "
             "CAST(0 AS BIGINT) AS skipped FROM counts", *ALL_RELATIONS, counts=COUNTS),
+        "failed_transform_run": _query(
+            "SELECT split_part(relation, '.', 2) AS model_name, CASE relation WHEN 'stg.stg_events' THEN 'failed' "
+            "ELSE 'skipped' END AS status, CAST(NULL AS BIGINT) AS rows_affected FROM counts",
+            *ALL_RELATIONS, counts=COUNTS),
         "last_test_run": _query(
-            "SELECT 'run-2' AS run_id, TIMESTAMP '2024-02-02 07:00:00' AS executed_at, count(*) AS tests, "
-            "count(*) FILTER (WHERE failing_rows = 0) AS passed, count(*) FILTER (WHERE failing_rows > 0) AS failed, "
-            "CAST(0 AS BIGINT) AS errored FROM results", *ALL_RELATIONS, results=_checks_sql()),
+            "SELECT count(*) AS tests, count(*) FILTER (WHERE failing_rows = 0) AS passed, "
+            "count(*) FILTER (WHERE failing_rows > 0) AS failed, CAST(0 AS BIGINT) AS errored FROM results",
+            *ALL_RELATIONS, results=_checks_sql()),
         "failing_tests": _query(
             "SELECT model_name, column_name, test_name, status, failing_rows, CAST(NULL AS VARCHAR) AS error "
             "FROM results WHERE failing_rows > 0", *ALL_RELATIONS, results=_checks_sql()),

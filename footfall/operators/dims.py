@@ -12,18 +12,20 @@ def _named(event: str) -> Column:
     return F.col("event_name") == event
 
 
+FIRST_TOUCH = {
+    "first_device_type": "device_type",
+    "first_browser": "browser",
+    "first_os": "os",
+    "first_country": "country",
+    "first_utm_source": "utm_source",
+    "first_utm_medium": "utm_medium",
+    "first_utm_campaign": "utm_campaign",
+}
+
+
 def dim_visitor(stg: DataFrame) -> DataFrame:
     """One row per tracking cookie: activity, revenue, first-touch attributes."""
     order = F.struct("occurred_at", "event_id")
-    first_touch = {
-        "first_device_type": "device_type",
-        "first_browser": "browser",
-        "first_os": "os",
-        "first_country": "country",
-        "first_utm_source": "utm_source",
-        "first_utm_medium": "utm_medium",
-        "first_utm_campaign": "utm_campaign",
-    }
     signed_in = F.col("user_id").isNotNull()
     grouped = stg.groupBy("anonymous_id").agg(
         F.max_by("user_id", F.when(signed_in, order)).alias("user_id"),
@@ -36,7 +38,7 @@ def dim_visitor(stg: DataFrame) -> DataFrame:
         F.coalesce(F.sum("order_revenue_usd"), F.lit(0))
         .cast("decimal(28,2)")
         .alias("lifetime_revenue_usd"),
-        F.min_by(F.struct(*first_touch.values()), order).alias("first"),
+        F.min_by(F.struct(*FIRST_TOUCH.values()), order).alias("first"),
     )
     return grouped.select(
         uuid_key("anonymous_id").alias("visitor_key"),
@@ -49,7 +51,46 @@ def dim_visitor(stg: DataFrame) -> DataFrame:
         "lifetime_page_views",
         "lifetime_orders",
         "lifetime_revenue_usd",
-        *[F.col(f"first.{source}").alias(name) for name, source in first_touch.items()],
+        *[F.col(f"first.{source}").alias(name) for name, source in FIRST_TOUCH.items()],
+    )
+
+
+def dim_visitor_from_sessions(sessions: DataFrame, stg: DataFrame) -> DataFrame:
+    """`dim_visitor` where sessions are built already: events are read for their orders alone.
+
+    A visitor's first touch is that of the first session, the last user that of the last session
+    with one; a session's start is its visitor's alone, so there are no ties.
+    """
+    first = F.struct(*[F.col(source).alias(name) for name, source in FIRST_TOUCH.items()])
+    signed_in = F.when(F.col("user_id").isNotNull(), F.col("started_at"))
+    visitors = sessions.groupBy("anonymous_id").agg(
+        F.max_by("user_id", signed_in).alias("user_id"),
+        F.min("started_at").alias("first_seen_at"),
+        F.max("ended_at").alias("last_seen_at"),
+        F.sum("events").alias("lifetime_events"),
+        F.sum("page_views").alias("lifetime_page_views"),
+        F.sum("revenue_usd").cast("decimal(28,2)").alias("lifetime_revenue_usd"),
+        F.min_by(first, "started_at").alias("first"),
+    )
+    orders = (
+        stg.where(F.col("order_id").isNotNull())
+        .select("anonymous_id", "order_id")
+        .distinct()
+        .groupBy("anonymous_id")
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
+    return visitors.join(orders, "anonymous_id", "left").select(
+        uuid_key("anonymous_id").alias("visitor_key"),
+        "anonymous_id",
+        "user_id",
+        F.col("user_id").isNotNull().alias("is_identified"),
+        "first_seen_at",
+        "last_seen_at",
+        "lifetime_events",
+        "lifetime_page_views",
+        F.coalesce("orders", F.lit(0)).alias("lifetime_orders"),
+        "lifetime_revenue_usd",
+        *[F.col(f"first.{name}").alias(name) for name in FIRST_TOUCH],
     )
 
 
@@ -116,20 +157,18 @@ def dim_page(stg: DataFrame) -> DataFrame:
 
 
 def dim_product(stg: DataFrame) -> DataFrame:
-    """One row per product seen: labels, price range, views and carts."""
-    order = F.struct("occurred_at", "event_id")
-    cart = _named("add_to_cart")
+    """One row per product seen: labels, price range, views and carts.
+
+    Events are reduced to numbers by name and category first. The latest price is then looked up
+    at its time, so that of all events only those of that moment are compared by id.
+    """
+    cart, priced = _named("add_to_cart"), F.col("product_price_usd").isNotNull()
+    seen = stg.where(F.col("product_id").isNotNull())
     parts = (
-        stg.where(F.col("product_id").isNotNull())
-        .groupBy("product_id", "product_name", "product_category")
+        seen.groupBy("product_id", "product_name", "product_category")
         .agg(
             F.count("*").alias("n"),
-            F.max(
-                F.when(
-                    F.col("product_price_usd").isNotNull(),
-                    F.struct(order.alias("at"), F.col("product_price_usd").alias("price")),
-                )
-            ).alias("latest"),
+            F.max(F.when(priced, F.col("occurred_at"))).alias("priced_at"),
             F.min("product_price_usd").alias("low"),
             F.max("product_price_usd").alias("high"),
             F.count_if(_named("product_view")).alias("views"),
@@ -146,7 +185,6 @@ def dim_product(stg: DataFrame) -> DataFrame:
         .groupBy("product_id", "kind", "value")
         .agg(
             F.sum("n").alias("n"),
-            F.max("latest").alias("latest"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             F.sum("views").alias("views"),
@@ -156,12 +194,18 @@ def dim_product(stg: DataFrame) -> DataFrame:
             F.max("last_at").alias("last_at"),
         )
     )
+    latest = parts.groupBy("product_id").agg(F.max("priced_at").alias("occurred_at"))
+    prices = (
+        seen.where(priced)
+        .join(latest, ["product_id", "occurred_at"])
+        .groupBy("product_id")
+        .agg(F.max_by("product_price_usd", "event_id").alias("latest_price_usd"))
+    )
     return (
         values.groupBy("product_id")
         .agg(
             _mode("product_name").alias("product_name"),
             _mode("product_category").alias("category"),
-            F.max("latest").alias("latest"),
             F.min("low").alias("min_price_usd"),
             F.max("high").alias("max_price_usd"),
             F.sum(F.when(once, F.col("views"))).alias("lifetime_product_views"),
@@ -170,12 +214,13 @@ def dim_product(stg: DataFrame) -> DataFrame:
             F.min("first_at").alias("first_seen_at"),
             F.max("last_at").alias("last_seen_at"),
         )
+        .join(prices, "product_id", "left")
         .select(
             uuid_key("product_id").alias("product_key"),
             "product_id",
             "product_name",
             "category",
-            F.col("latest.price").alias("latest_price_usd"),
+            "latest_price_usd",
             "min_price_usd",
             "max_price_usd",
             "lifetime_product_views",

@@ -142,42 +142,40 @@ def is_bounce(
     return (page_views <= 1) & ~viewed & ~added & ~checkout & ~purchased
 
 
+FIRST_EVENT = ["device_type", "browser", "os", "country", "utm_source", "utm_medium", "utm_campaign"]
+
+
 def fct_sessions(sessionized: DataFrame, steps: list[str] | None = None) -> DataFrame:
     """One row per session: counts, funnel flags, revenue, first-event attributes.
 
     With `steps`, also `step_times`: the first time of each step in the session,
     null where it did not happen, for `funnel.funnel_steps`.
 
-    Rows of one session are combined before the shuffle. Distinct values are counted
-    over distinct (session, kind, value) rows, so no session is held as a set.
+    The order that `sessionize` left is used: running values at the last event of a session tell
+    all about it, so events are neither sorted nor shuffled again, one row per session goes on.
+    Distinct values are counted over distinct (session, kind, value) rows, so no session is held
+    as a set.
     """
-    seq = F.col("event_seq_in_session")
-
-    def happened(name: str) -> Column:
-        return F.col("event_name") == name
+    steps = steps or []
+    parts = _session_parts(sessionized, steps)
 
-    first_event = ["device_type", "browser", "os", "country",
-                   "utm_source", "utm_medium", "utm_campaign"]
-    extra = step_time_columns(steps) if steps else {}
+    def sums(*names: str) -> list[Column]:
+        return [F.sum(name).alias(name) for name in names]
 
-    grouped = sessionized.groupBy("session_id").agg(
+    # a session is in several slices only if its visitor was cut
+    grouped = parts.groupBy("session_id").agg(
         F.min("anonymous_id").alias("anonymous_id"),
         F.min("session_started_at").alias("started_at"),
         F.max("occurred_at").alias("ended_at"),
-        F.count("*").alias("events"),
-        F.count_if(happened("page_view")).alias("page_views"),
-        F.count_if(happened("search")).alias("searches"),
-        F.bool_or(happened("product_view")).alias("viewed_product"),
-        F.bool_or(happened("add_to_cart")).alias("added_to_cart"),
-        F.bool_or(happened("checkout_start")).alias("started_checkout"),
-        F.bool_or(happened("purchase")).alias("purchased"),
-        F.coalesce(F.sum("order_revenue_usd"), F.lit(0)).cast("decimal(28,2)").alias("revenue_usd"),
-        F.max_by("user_id", F.when(F.col("user_id").isNotNull(), seq)).alias("user_id"),
-        F.min_by(F.struct(*first_event), seq).alias("_first"),
-        F.min_by("referrer", F.when(F.col("referrer").isNotNull(), seq)).alias("landing_referrer"),
-        F.min_by("page_path", F.when(happened("page_view"), seq)).alias("entry_page_path"),
-        F.max_by("page_path", F.when(happened("page_view"), seq)).alias("exit_page_path"),
-        *[column.alias(name) for name, column in extra.items()],
+        *sums("events", "page_views", "searches"),
+        *[(F.sum(name) > 0).alias(name) for name in FLAGS],
+        F.sum("revenue_usd").cast("decimal(28,2)").alias("revenue_usd"),
+        F.max("_user").alias("_user"),
+        F.max("_first").alias("_first"),
+        F.min("_referrer").alias("_referrer"),
+        F.min("_entry").alias("_entry"),
+        F.max("_exit").alias("_exit"),
+        *[F.min(name).alias(name) for name in _step_names(steps)],
     )
     grouped = grouped.join(_distinct_values(sessionized), "session_id", "left")
 
@@ -188,7 +186,7 @@ def fct_sessions(sessionized: DataFrame, steps: list[str] | None = None) -> Data
         "session_id",
         "anonymous_id",
         uuid_key("anonymous_id").alias("visitor_key"),
-        "user_id",
+        F.col("_user.value").alias("user_id"),
         "started_at",
         "ended_at",
         F.to_date("started_at").alias("session_date"),
@@ -211,17 +209,92 @@ def fct_sessions(sessionized: DataFrame, steps: list[str] | None = None) -> Data
         counted("products_viewed"),
         counted("orders"),
         "revenue_usd",
-        *[F.col(f"_first.{name}") for name in first_event],
-        "landing_referrer",
-        "entry_page_path",
-        "exit_page_path",
-        channel(F.col("_first.utm_medium"), F.col("_first.utm_source")).alias("channel"),
+        *[F.col(f"_first.value.{name}") for name in FIRST_EVENT],
+        F.col("_referrer.value").alias("landing_referrer"),
+        F.col("_entry.value").alias("entry_page_path"),
+        F.col("_exit.value").alias("exit_page_path"),
+        channel(F.col("_first.value.utm_medium"), F.col("_first.value.utm_source")).alias("channel"),
     ]
-    if extra:
-        columns.append(F.array(*extra).alias("step_times"))
+    if steps:
+        columns.append(F.array(*_step_names(steps)).alias("step_times"))
     return grouped.select(*columns)
 
 
+#: Whether an event happened in a session.
+FLAGS = {
+    "viewed_product": "product_view",
+    "added_to_cart": "add_to_cart",
+    "started_checkout": "checkout_start",
+    "purchased": "purchase",
+}
+
+
+def _step_names(steps: list[str]) -> list[str]:
+    return [f"_step_{i}" for i in range(1, len(steps) + 1)]
+
+
+def _session_parts(sessionized: DataFrame, steps: list[str]) -> DataFrame:
+    """One row per session and slice of its visitor, the session's last event in the slice.
+
+    Counts are differences of running ones between two such rows. A running pick holds the session
+    that it was made in; one of an earlier session does not count.
+    """
+    in_order = Window.partitionBy("anonymous_id", SLICE).orderBy("occurred_at", "event_id")
+    so_far = in_order.rowsBetween(*SO_FAR)
+    started, seq = F.col("session_started_at"), F.col("event_seq_in_session")
+
+    def happened(name: str) -> Column:
+        return F.col("event_name") == name
+
+    def pick(value: Column, test: Column, first: bool) -> Column:
+        """The value of the session's first or last event that the test holds for, after `place`."""
+        place = -seq if first else seq
+        held = F.when(test, F.struct(started.alias("of"), place.alias("place"), value.alias("value")))
+        return F.max(held).over(so_far)
+
+    counted = {"events": F.lit(1), "page_views": happened("page_view"), "searches": happened("search")}
+    counted |= {name: happened(event) for name, event in FLAGS.items()}
+    running = {name: F.sum(test.cast("bigint")).over(so_far) for name, test in counted.items()}
+    revenue = F.coalesce("order_revenue_usd", F.lit(0)).cast("decimal(18,2)")
+    running["revenue_usd"] = F.sum(revenue).over(so_far)
+    user, referrer, path = F.col("user_id"), F.col("referrer"), F.col("page_path")
+    picks = {
+        "_user": pick(user, user.isNotNull(), first=False),
+        "_first": pick(F.struct(*FIRST_EVENT), seq == 1, first=True),
+        "_referrer": pick(referrer, referrer.isNotNull(), first=True),
+        "_entry": pick(path, happened("page_view"), first=True),
+        "_exit": pick(path, happened("page_view"), first=False),
+    }
+    for name, step in zip(_step_names(steps), steps, strict=True):
+        picks[name] = pick(F.col("occurred_at"), happened(step), first=True)
+    last = sessionized.select(
+        "anonymous_id", SLICE, "session_id", "session_started_at", "occurred_at", "event_id",
+        F.struct(*[column.alias(name) for name, column in running.items()]).alias("_running"),
+        *[column.alias(name) for name, column in picks.items()],
+        F.lead(started).over(in_order).eqNullSafe(started).alias("_goes_on"),
+    ).where(~F.col("_goes_on"))
+    parts = last.withColumn("_before", F.lag("_running").over(in_order))
+
+    def made_here(name: str) -> Column:
+        held = F.when(F.col(name)["of"] == started, F.col(name))
+        if name.startswith("_step"):
+            return held["value"].alias(name)
+        place = F.abs(held["place"]).alias("place")
+        return F.when(held.isNotNull(), F.struct(place, held["value"].alias("value"))).alias(name)
+
+    return parts.select(
+        "session_id",
+        "anonymous_id",
+        "session_started_at",
+        "occurred_at",
+        *[
+            (F.col(f"_running.{name}") - F.coalesce(F.col(f"_before.{name}"), F.lit(0))).alias(name)
+            for name in running
+        ],
+        *[made_here(name) for name in picks],
+    )
+
+
 def _distinct_values(sessionized: DataFrame) -> DataFrame:
     """Distinct pages, products and orders per session."""
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import schema
-from footfall.operators.dims import dim_page, dim_product, dim_visitor
+from footfall.operators.dims import dim_page, dim_product, dim_visitor_from_sessions
 from footfall.operators.funnel import funnel_conversion, funnel_steps
 from footfall.operators.pageviews import fct_page_views
 from footfall.operators.quality import Suite
@@ -44,7 +44,7 @@ def marts(
     return {
         "stg_events": stg,
         "int_sessionized_events": bridge(sessionized),
-        "dim_visitor": keep(dim_visitor(stg), "dim_visitor"),
+        "dim_visitor": keep(dim_visitor_from_sessions(sessions, stg), "dim_visitor"),
         "dim_page": keep(dim_page(stg), "dim_page"),
         "dim_product": keep(dim_product(stg), "dim_product"),
         "fct_sessions": sessions,
@@ -151,10 +151,14 @@ def build_models(
     attempt("stg_events", "incremental", (), staging)
     attempt("int_sessionized_events", "table", ("stg_events",), sessions_bridge)
     bridged = ("int_sessionized_events",)
-    table("dim_visitor", lambda: dim_visitor(stg()), ("stg_events",))
     table("dim_page", lambda: dim_page(stg()), ("stg_events",))
     table("dim_product", lambda: dim_product(stg()), ("stg_events",))
     table("fct_sessions", lambda: fct_sessions(wide(), steps), bridged)
+    table(
+        "dim_visitor",
+        lambda: dim_visitor_from_sessions(mart("fct_sessions"), stg()),
+        ("stg_events", "fct_sessions"),
+    )
     table("fct_page_views", lambda: fct_page_views(wide()), bridged)
     table("fct_funnel_steps", lambda: funnel_steps(mart("fct_sessions"), steps), ("fct_sessions",))
     table("agg_daily_traffic", lambda: daily_traffic(mart("fct_sessions")), ("fct_sessions",))

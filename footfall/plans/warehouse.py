@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from footfall import schema
 
 
-def create_databases(spark: SparkSession) -> None:
+def create_databases(spark: SparkSession, root: str | None = None) -> None:
+    """Create those that are missing, under `root` or in the session's warehouse."""
     for name in ("raw", "stg", "mart", "meta"):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+        place = f" LOCATION '{root}/{name}.db'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def materialize_view(df: DataFrame, name: str) -> int:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import schema
@@ -54,10 +54,14 @@ def publish_projection(messages: DataFrame) -> DataFrame:
 
 def publish_counts(messages: DataFrame) -> DataFrame:
     """How many messages would be published and how many are invalid."""
-    return validate_events(messages).agg(
+    return validate_events(messages).agg(*_counts())
+
+
+def _counts() -> list[Column]:
+    return [
         F.count_if(F.col("error").isNull()).alias("produced"),
         F.count_if(F.col("error").isNotNull()).alias("invalid"),
-    )
+    ]
 
 
 def publish_writer(
@@ -66,3 +70,18 @@ def publish_writer(
     """Writer for the publishable messages; `.save()` sends them."""
     rows = publish_projection(messages).select("key", "value")
     return rows.write.format(fmt).options(**(options or {}))
+
+
+def publish(
+    messages: DataFrame, fmt: str = "kafka", options: dict[str, str] | None = None
+) -> dict[str, int]:
+    """Send the valid messages; returns how many were sent (produced) and how many are invalid.
+
+    Both are counted while the messages are written, so each is validated once.
+    """
+    counts = Observation()
+    validated = validate_events(messages).observe(counts, *_counts())
+    valid = validated.where(F.col("error").isNull())
+    sent = valid.select(F.col("anonymous_id").alias("key"), F.col("payload").alias("value"))
+    sent.write.format(fmt).mode("append").options(**(options or {})).save()
+    return counts.get

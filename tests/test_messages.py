@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.timestamps import parse_iso8601
 from footfall.sources.lines import read_json_lines, write_json_lines
-from footfall.sources.log import publish_counts, publish_projection, publish_writer
+from footfall.sources.log import publish, publish_counts, publish_projection, publish_writer
 from footfall.sources.messages import (
     clean_text,
     dead_letters,
@@ -221,6 +221,9 @@ def test_publishing_checks_the_same_rules(spark, tmp_path):
     assert tuple(publish_counts(messages).first()) == (2, 1)
     assert {r.key for r in publish_projection(messages).collect()} == {"anon_1", "other"}
     publish_writer(messages, "parquet").save(str(tmp_path / "sent"))
+    counted = publish(messages, "parquet", {"path": str(tmp_path / "counted")})
+    assert counted == {"produced": 2, "invalid": 1}
+    assert spark.read.parquet(str(tmp_path / "counted")).count() == 2
     assert spark.read.parquet(str(tmp_path / "sent")).columns == ["key", "value"]
 
 
