@@ -1,11 +1,13 @@
 """Class-based n-gram language model (Brown et al., 1992), clustered by distributed exchange.
 
 A token is predicted by the class of the token before it, then by its own share of its class. The
-most frequent words are units of their own; all other words belong to units by their ending, so
-every word has a class, seen or not. Units are moved between classes by exchange: tasks hold parts
-of the units with their neighbour counts by class, take each unit out of its class and put it where
-the likelihood of the class bigrams gains most, as in the distributed version of Uszkoreit and
-Brants (2008). Between sweeps all counts are taken anew from the bigrams of the whole corpus.
+most frequent words are units of their own from the start; all other words belong to units by their
+ending, so every word has a class, seen or not. Units are moved between classes by exchange: tasks
+hold parts of the units with their neighbour counts by class, take each unit out of its class and
+put it where the likelihood of the class bigrams gains most, as in the distributed version of
+Uszkoreit and Brants (2008). Between sweeps all counts are taken anew from the bigrams of the whole
+corpus. Every further word of the dictionary is then a unit too: its neighbours are counted by class
+over the whole corpus and it is exchanged in the same way. Endings remain for rarer and unseen words.
 
 Words of a text outside the broadcast dictionary are looked up by a join with the full vocabulary,
 so no count is left out, whatever the vocabulary's size.
@@ -25,13 +27,13 @@ from footfall.llm import text as T
 from footfall.session import stage
 
 CLASSES = 64
-#: Frequent words that are units of their own, and units of other words by ending.
+#: Frequent words that are units from the first sweep on, and units of other words by ending.
 OWN_UNITS, ENDINGS = 1 << 13, 1 << 11
 #: Words whose counts tasks hold; the others are joined.
 DICTIONARY = 1 << 17
 SWEEPS = 6
-#: Parts of the units that are exchanged side by side.
-PARTS = 16
+#: Units exchanged in one task, about; parts of the units are exchanged side by side.
+PART_UNITS = 2048
 #: Added to every count of a word or a unit within its class.
 ADDED = 0.5
 #: Strength of the class distribution behind class transitions.
@@ -44,11 +46,23 @@ END = 0
 
 @dataclass
 class Dictionary:
-    """Hashes of frequent words in order, with their counts and units."""
+    """Hashes of frequent words in order, with their counts and units.
+
+    places holds the place of each among the words that are no units of their own at first, or -1.
+    """
 
     hashes: np.ndarray
     counts: np.ndarray
     units: np.ndarray
+    places: np.ndarray
+
+    def beyond(self, found: T.Words) -> np.ndarray:
+        """Place of each word among those that are no units at first, or -1."""
+        hashed = found.hashes()
+        at = np.searchsorted(self.hashes, hashed)
+        at[at == len(self.hashes)] = 0
+        known = self.hashes[at] == hashed if len(self.hashes) else np.zeros(len(hashed), bool)
+        return np.where(known, self.places[at] if len(self.hashes) else -1, -1)
 
     def find(self, found: T.Words) -> tuple[np.ndarray, np.ndarray]:
         """Unit of each word, and its count or -1 where the dictionary lacks it."""
@@ -116,7 +130,10 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def count_pairs(documents: DataFrame, dictionary: Dictionary, text: str = "text") -> DataFrame:
-    """(a, b, n): how often unit b follows unit a, all rows of an `a` in one partition."""
+    """(a, b, n): how often unit b follows unit a, all rows of an `a` in one partition.
+
+    They are added up before they are dealt by `a`, so a unit has a row for each other unit at most.
+    """
     sent = documents.sparkSession.sparkContext.broadcast(dictionary)
 
     def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +171,7 @@ def count_pairs(documents: DataFrame, dictionary: Dictionary, text: str = "text"
             yield from told(*summed(held))
 
     pairs = _bodies(documents, text).mapInArrow(work, "a INT, b INT, n BIGINT")
-    return pairs.repartition("a").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).repartition("a")
 
 
 def sequences(units: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,7 +238,7 @@ def _larger(batches: Iterator[pa.RecordBatch], rows: int = 1 << 20) -> Iterator[
 
 def _by_class(pairs: DataFrame, unit: str, other: str, side: int, classes: np.ndarray) -> DataFrame:
     """(part, unit, side, class, n) from bigrams, added up within each task first."""
-    k = int(classes.max()) + 1
+    k, parts = int(classes.max()) + 1, -(-len(classes) // PART_UNITS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(classes) * k)
@@ -232,7 +249,7 @@ def _by_class(pairs: DataFrame, unit: str, other: str, side: int, classes: np.nd
         keys = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array((keys // k % PARTS).astype(np.int32)),
+                pa.array((keys // k % parts).astype(np.int32)),
                 pa.array((keys // k).astype(np.int32)),
                 pa.array(np.full(len(keys), side, np.int32)),
                 pa.array((keys % k).astype(np.int32)),
@@ -244,8 +261,8 @@ def _by_class(pairs: DataFrame, unit: str, other: str, side: int, classes: np.nd
     return pairs.mapInArrow(work, "part INT, unit INT, side INT, class INT, n BIGINT")
 
 
-def _exchanger(now: np.ndarray, table: np.ndarray):
-    """One sweep over the units of a part."""
+def _exchanger(now: np.ndarray, table: np.ndarray, first: int = END + 1):
+    """One sweep over the units of a part, those below `first` left where they are."""
     classes = len(table)
 
     def moved(group: pa.Table) -> pa.Table:
@@ -253,7 +270,7 @@ def _exchanger(now: np.ndarray, table: np.ndarray):
         sides = np.zeros((2, len(units), classes))
         side, near = (group.column(c).to_numpy() for c in ("side", "class"))
         np.add.at(sides, (side, at, near), group.column("n").to_numpy())
-        free = units != END
+        free = units >= first
         units, sides = units[free], sides[:, free]
         new = exchange(table, now[units], sides[0], sides[1])
         return pa.table({"unit": units.astype(np.int32), "class": new.astype(np.int32)})
@@ -281,6 +298,86 @@ def cluster(pairs: DataFrame, classes: int = CLASSES, sweeps: int = SWEEPS) -> n
     return now
 
 
+def neighbours_by_class(
+    documents: DataFrame, dictionary: Dictionary, classes: np.ndarray, text: str = "text"
+) -> DataFrame:
+    """(part, unit, side, class, n) of the dictionary's words beyond the first units, as `_by_class`.
+
+    Here a unit is a word's place beyond those; side 0 counts the classes after it, 1 those before.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast((dictionary, classes))
+    k = int(classes.max()) + 1
+    parts = max(1, -(-len(dictionary.hashes) // PART_UNITS))
+
+    def told(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(keys), 1 << 16):
+            key = keys[at : at + (1 << 16)]
+            unit = key // (2 * k)
+            columns = [unit % parts, unit, key // k % 2, key % k]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c.astype(np.int32)) for c in columns), pa.array(n[at : at + (1 << 16)])],
+                names=["part", "unit", "side", "class", "n"],
+            )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dictionary, classes = sent.value
+        sums = np.zeros(len(dictionary.hashes) * 2 * k, np.int32)
+        for batch in batches:
+            for part in T.chunks(batch, "_body"):
+                found = T.words(part.column("_body"), T.WHITE)
+                units, _ = dictionary.find(found)
+                places, _, begin = sequences(dictionary.beyond(found), found.first)
+                places[begin[1:] - 1] = -1
+                now, before, _ = sequences(units, found.first)
+                of = classes[now]
+                at = np.flatnonzero(places >= 0)  # the end of its text follows, at least
+                key = np.concatenate(
+                    [places[at] * 2 * k + of[at + 1], (places[at] * 2 + 1) * k + classes[before[at]]]
+                )
+                key, n = np.unique(key, return_counts=True)
+                sums[key] += n.astype(np.int32)
+                if len(at) and sums[key].max() > 1 << 30:
+                    some = np.flatnonzero(sums)
+                    yield from told(some, sums[some].astype(np.int64))
+                    sums[:] = 0
+        some = np.flatnonzero(sums)
+        yield from told(some, sums[some].astype(np.int64))
+
+    found = _bodies(documents, text).mapInArrow(
+        work, "part INT, unit INT, side INT, class INT, n BIGINT"
+    )
+    return found.groupBy("part", "unit", "side", "class").agg(F.sum("n").alias("n"))
+
+
+def class_pairs(
+    documents: DataFrame, dictionary: Dictionary, classes: np.ndarray, k: int, text: str = "text"
+) -> np.ndarray:
+    """How often a class follows another in all texts."""
+    sent = documents.sparkSession.sparkContext.broadcast((dictionary, classes))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dictionary, classes = sent.value
+        sums = np.zeros(k * k, np.int64)
+        for batch in batches:
+            for part in T.chunks(batch, "_body"):
+                found = T.words(part.column("_body"), T.WHITE)
+                now, before, _ = sequences(dictionary.find(found)[0], found.first)
+                sums += np.bincount(classes[before] * k + classes[now], minlength=k * k)
+        keys = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.astype(np.int32)), pa.array(sums[keys])], names=["key", "n"]
+        )
+
+    return _table(_bodies(documents, text).mapInArrow(work, "key INT, n BIGINT"), k)
+
+
+def _table(rows: DataFrame, k: int) -> np.ndarray:
+    out = np.zeros(k * k)
+    for row in rows.groupBy("key").agg(F.sum("n").alias("n")).collect():
+        out[row.key] = row.n
+    return out.reshape(k, k)
+
+
 def transition_counts(pairs: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
     """How often a class follows another."""
 
@@ -295,11 +392,7 @@ def transition_counts(pairs: DataFrame, classes: np.ndarray, k: int) -> np.ndarr
             names=["key", "n"],
         )
 
-    rows = pairs.mapInArrow(work, "key INT, n BIGINT").groupBy("key").agg(F.sum("n").alias("n"))
-    out = np.zeros(k * k)
-    for row in rows.collect():
-        out[row.key] = row.n
-    return out.reshape(k, k)
+    return _table(pairs.mapInArrow(work, "key INT, n BIGINT"), k)
 
 
 def fit(
@@ -323,17 +416,30 @@ def fit(
     units[:own] = 1 + np.arange(own)
     order = np.argsort(hashed)
     counts = top.column("n").to_numpy()
-    dictionary = Dictionary(hashed[order], counts[order], units[order])
+    places = np.where(np.arange(len(hashed)) < own, -1, np.arange(len(hashed)) - own)
+    dictionary = Dictionary(hashed[order], counts[order], units[order], places[order])
 
     pairs = stage(count_pairs(documents, dictionary, text), "pairs")
     assigned = cluster(pairs, classes, sweeps)
     table = transition_counts(pairs, assigned, classes)
+    if len(hashed) > own:  # the further words, each from the class of its ending
+        near = neighbours_by_class(documents, dictionary, assigned, text)
+        of_words = assigned[units[own:]]
+        moved = near.groupBy("part").applyInArrow(
+            _exchanger(of_words, table, first=0), "unit INT, class INT"
+        ).toArrow()
+        of_words[moved.column("unit").to_numpy()] = moved.column("class").to_numpy()
+        assigned = np.concatenate([assigned, of_words])
+        units[own:] = UNITS + np.arange(len(hashed) - own)
+        dictionary = Dictionary(hashed[order], counts[order], units[order], places[order])
+        table = class_pairs(documents, dictionary, assigned, classes, text)
 
     # counts of units, and of tokens and types that belong to each ending
-    unit_counts = np.zeros(UNITS)
-    for row in pairs.groupBy("b").agg(F.sum("n").alias("n")).collect():
-        unit_counts[row.b] = row.n
-    ending_types = _types_by_ending(vocabulary, top.column("word").slice(0, own).to_pylist())
+    ending_types, ending_tokens = _by_ending(vocabulary, top)
+    unit_counts = np.zeros(len(assigned))
+    unit_counts[END] = texts
+    unit_counts[1 + OWN_UNITS : UNITS] = ending_tokens
+    unit_counts[units] = counts
     return Model(
         vocabulary,
         dictionary,
@@ -342,31 +448,34 @@ def fit(
         int(texts),
         int(types),
         *_probabilities(table, unit_counts, assigned, classes),
-        np.log10(unit_counts[1 + OWN_UNITS :] + ADDED * (ending_types + 1)),
+        np.log10(ending_tokens + ADDED * (ending_types + 1)),
     )
 
 
-def _types_by_ending(vocabulary: DataFrame, own_words: list[str]) -> np.ndarray:
-    """Different words of each ending unit: those of the vocabulary less those with own units."""
+def _by_ending(vocabulary: DataFrame, top: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Different words and tokens of each ending unit: the vocabulary's less the dictionary's."""
+
+    def added(words: pa.Array, n: np.ndarray) -> np.ndarray:
+        unit = endings(T.words(words, T.WHITE)) - 1 - OWN_UNITS
+        return np.stack([np.bincount(unit, w, ENDINGS) for w in (None, n)]).astype(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(ENDINGS, np.int64)
+        sums = np.zeros((2, ENDINGS), np.int64)
         for batch in batches:
-            unit = endings(T.words(batch.column("word"), T.WHITE)) - 1 - OWN_UNITS
-            sums += np.bincount(unit, minlength=ENDINGS)
-        keys = np.flatnonzero(sums)
+            sums += added(batch.column("word"), batch.column("n").to_numpy())
+        keys = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.astype(np.int32)), pa.array(sums[keys])], names=["ending", "n"]
+            [pa.array(keys.astype(np.int32)), pa.array(sums[0, keys]), pa.array(sums[1, keys])],
+            names=["ending", "types", "tokens"],
         )
 
-    out = np.zeros(ENDINGS)
-    rows = vocabulary.select("word").mapInArrow(work, "ending INT, n BIGINT")
-    for row in rows.groupBy("ending").agg(F.sum("n").alias("n")).collect():
-        out[row.ending] = row.n
-    if own_words:
-        unit = endings(T.words(pa.array(own_words), T.WHITE)) - 1 - OWN_UNITS
-        out -= np.bincount(unit, minlength=ENDINGS)
-    return out
+    out = np.zeros((2, ENDINGS))
+    rows = vocabulary.mapInArrow(work, "ending INT, types BIGINT, tokens BIGINT")
+    for row in rows.groupBy("ending").agg(F.sum("types").alias("a"), F.sum("tokens").alias("b")).collect():
+        out[:, row.ending] = row.a, row.b
+    if len(top):
+        out -= added(top.column("word").combine_chunks(), top.column("n").to_numpy())
+    return out[0], out[1]
 
 
 def _probabilities(
@@ -423,7 +532,7 @@ def score(
                 given = np.where(asked, 1.0, seen + ADDED)
                 base = np.where(asked, 0.0, np.log10(given)) - base_size
                 value = transitions[classes[before], classes[now]] + emissions[now]
-                by_end = now > OWN_UNITS
+                by_end = (now > OWN_UNITS) & (now < UNITS)
                 value[by_end] -= ending_sizes[now[by_end] - 1 - OWN_UNITS]
                 value[by_end & ~asked] += np.log10(given[by_end & ~asked])
                 # words to look up, each once for a text

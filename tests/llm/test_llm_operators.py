@@ -135,6 +135,60 @@ def test_shift_table_search_finds_every_place():
 # --- SimHash --------------------------------------------------------------------------------
 
 
+def test_class_scores_match_a_plain_model(llm):
+    """Scores from the fitted word classes, counted anew in plain Python."""
+    random = np.random.default_rng(6)
+    own, more = brown.OWN_UNITS, 60
+    words = [f"w{x}{'ab'[x % 2]}" for x in range(own + 200)]
+    texts = [" ".join(random.choice(words, random.integers(0, 300))) for _ in range(300)]
+    train = llm.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")
+    model = brown.fit(train, classes=5, sweeps=1, dictionary_size=own + more)
+
+    units, counts = {}, Counter(w for t in texts for w in brute.white_words(t))
+    import pyarrow as pa
+
+    from footfall.llm import text as T
+
+    asked = [*words, "unseen", "other words"]
+    for word in {x for t in asked for x in t.split()}:
+        units[word] = int(model.dictionary.find(T.words(pa.array([word]), T.WHITE))[0][0])
+    classes = model.classes
+    in_dictionary = [w for w in words if units[w] <= own or units[w] >= brown.UNITS]
+    assert len(in_dictionary) == own + more and len(classes) == brown.UNITS + more
+    assert len({units[w] for w in in_dictionary}) == own + more
+    assert len(set(classes[brown.UNITS :].tolist())) > 1
+
+    table, sizes, of_unit = Counter(), Counter(), Counter()
+    for t in texts:
+        now = [*(units[w] for w in brute.white_words(t)), brown.END]
+        table.update((classes[a], classes[b]) for a, b in zip([brown.END, *now], now))
+        of_unit.update(now)
+    for unit, n in of_unit.items():
+        sizes[classes[unit]] += n
+    members = Counter(classes.tolist())
+    all_tokens = sum(of_unit.values())
+
+    def score(text):
+        total, before = 0.0, 0
+        listed = brute.white_words(text)
+        for word, unit in zip([*listed, None], [*(units[w] for w in listed), brown.END], strict=True):
+            c = classes[unit]
+            share = (sizes[c] + 0.5) / (all_tokens + 0.5 * 5)
+            row = sum(table[before, d] for d in range(5))
+            total += math.log10((table[before, c] + 4 * share) / (row + 4))
+            total += math.log10((of_unit[unit] + 0.5) / (sizes[c] + 0.5 * members[c]))
+            if own < unit < brown.UNITS:
+                types = sum(units[w] == unit and counts[w] > 0 for w in words)
+                total += math.log10((counts[word] + 0.5) / (of_unit[unit] + 0.5 * (types + 1)))
+            before = c
+        return total
+
+    held = ["", "w1b w2a unseen w2a", " ".join(words[-300:]), "other words w39b", texts[0]]
+    df = llm.createDataFrame([(i, t) for i, t in enumerate(held)], "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.score for r in brown.score(df, model).collect()}
+    assert got == pytest.approx({i: score(t) for i, t in enumerate(held)}, abs=1e-9)
+
+
 def test_simhash_groups_match_all_pairs(llm, none):
     random = np.random.default_rng(1)
     base = [" ".join(f"w{x}" for x in random.integers(0, 5000, 300)) for _ in range(12)]
