@@ -13,6 +13,7 @@ a part may hold any number of either.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -186,17 +187,29 @@ def fit(
     parts: int = PARTS,
     recall: float = RECALL,
 ) -> Model:
-    """Fit on (id, v) rows, of which about `sample_rows`, chosen by hash of the id, come to the driver."""
+    """Fit on (id, v) rows, of which about `sample_rows`, chosen by hash of the id, go to one task."""
     most = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if most is None:
         return Model(0, None, None, np.inf, 0)
     share = min(1.0, sample_rows / most["count"])
     chosen = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = rows.where((F.size("v") == most["n"]) & chosen).select("id", "v").toArrow()
-    sample = sample.sort_by([("id", "ascending")])
-    x = matrix(sample.column("v")) if len(sample) else np.zeros((0, most["n"]))
+    sample = rows.where((F.size("v") == most["n"]) & chosen).select("id", "v")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        x = np.zeros((0, most["n"]))
+        if held:
+            x = matrix(pa.Table.from_batches(held).sort_by([("id", "ascending")]).column("v"))
+        model = _learned(x, nearest, measured_rows, parts, recall)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # one small row comes back
+    return pickle.loads(sample.repartition(1).mapInArrow(work, "model BINARY").collect()[0][0])
+
+
+def _learned(x: np.ndarray, nearest: int, measured_rows: int, parts: int, recall: float) -> Model:
     if len(x) < 4 * LEAST:  # nothing to be learned: one part
-        return Model(most["n"], None, None, np.inf, 0)
+        return Model(x.shape[1], None, None, np.inf, 0)
     x = x[np.random.default_rng(SEED).permutation(len(x))]
     near = graph(x, max(DEGREE, nearest))
     held = min(measured_rows, len(x) // 4)
@@ -204,15 +217,15 @@ def fit(
     part = cut(x, near[:, :DEGREE], parts, LEAST)
     count = int(part.max()) + 1
     owner = Classifier(x[train], np.eye(count)[part[train]])
-    model = Model(most["n"], owner, None, float(np.quantile(np.linalg.norm(x, axis=1), 1 - LONGEST)), count)
+    long = float(np.quantile(np.linalg.norm(x, axis=1), 1 - LONGEST))
+    model = Model(x.shape[1], owner, None, long, count)
     given = model.part(x)
     there = np.eye(count + 1)[given][:, :count]
     wanted = there[near[train]].sum(axis=1)
     some = wanted.sum(axis=1) > 0
-    router = Classifier(x[train][some], wanted[some] / wanted[some].sum(axis=1, keepdims=True))
-    model.router = router
-    visits = model.visits(x[:held])[:, :count]
-    at = np.argsort(visits, axis=1)  # place of each part in the order of visits
+    model.router = Classifier(x[train][some], wanted[some] / wanted[some].sum(axis=1, keepdims=True))
+    # how many parts hold enough of the nearest rows of the rows kept for measuring
+    at = np.argsort(model.visits(x[:held])[:, :count], axis=1)
     in_long = given[near[:held]] == count
     place = np.take_along_axis(at, np.minimum(given[near[:held]], count - 1), axis=1)
     found = np.bincount(np.where(in_long, 0, place).ravel(), minlength=count).cumsum() / in_long.size
