@@ -46,23 +46,11 @@ END = 0
 
 @dataclass
 class Dictionary:
-    """Hashes of frequent words in order, with their counts and units.
-
-    places holds the place of each among the words that are no units of their own at first, or -1.
-    """
+    """Hashes of frequent words in order, with their counts and units."""
 
     hashes: np.ndarray
     counts: np.ndarray
     units: np.ndarray
-    places: np.ndarray
-
-    def beyond(self, found: T.Words) -> np.ndarray:
-        """Place of each word among those that are no units at first, or -1."""
-        hashed = found.hashes()
-        at = np.searchsorted(self.hashes, hashed)
-        at[at == len(self.hashes)] = 0
-        known = self.hashes[at] == hashed if len(self.hashes) else np.zeros(len(hashed), bool)
-        return np.where(known, self.places[at] if len(self.hashes) else -1, -1)
 
     def find(self, found: T.Words) -> tuple[np.ndarray, np.ndarray]:
         """Unit of each word, and its count or -1 where the dictionary lacks it."""
@@ -129,12 +117,38 @@ def count_words(documents: DataFrame, text: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def count_pairs(documents: DataFrame, dictionary: Dictionary, text: str = "text") -> DataFrame:
+def code_texts(documents: DataFrame, dictionary: Dictionary, text: str = "text") -> DataFrame:
+    """(units): the unit of each word of a text."""
+    sent = documents.sparkSession.sparkContext.broadcast(dictionary)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in T.chunks(batch, "_body"):
+                found = T.words(part.column("_body"), T.WHITE)
+                units, _ = sent.value.find(found)
+                column = pa.ListArray.from_arrays(
+                    pa.array(found.first, pa.int32()), pa.array(units, pa.int32())
+                )
+                yield pa.RecordBatch.from_arrays([column], names=["units"])
+
+    return _bodies(documents, text).mapInArrow(work, "units ARRAY<INT>")
+
+
+def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Units of coded texts with their ends put in, and the unit before each."""
+    column = batch.column("units")
+    first = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+    now, before, _ = sequences(column.flatten().to_numpy(), first.astype(np.int64))
+    return now, before
+
+
+def count_pairs(coded: DataFrame, first: np.ndarray) -> DataFrame:
     """(a, b, n): how often unit b follows unit a, all rows of an `a` in one partition.
 
-    They are added up before they are dealt by `a`, so a unit has a row for each other unit at most.
+    `first` gives the unit in which each unit is counted at first. Pairs are added up before they
+    are dealt by `a`, so a unit has a row for each other unit at most.
     """
-    sent = documents.sparkSession.sparkContext.broadcast(dictionary)
+    sent = coded.sparkSession.sparkContext.broadcast(first)
 
     def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
@@ -155,22 +169,21 @@ def count_pairs(documents: DataFrame, dictionary: Dictionary, text: str = "text"
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for part in T.chunks(batch, "_body"):
-                found = T.words(part.column("_body"), T.WHITE)
-                units, _ = sent.value.find(found)
-                now, before, _ = sequences(units, found.first)
-                held.append(np.unique((before << 32) | now, return_counts=True))
-                size += len(held[-1][0])
-                if size >= HELD_PAIRS:
-                    held, size = [summed(held)], 0
-                    size = len(held[0][0])
-                    if 2 * size >= HELD_PAIRS:
-                        yield from told(*held[0])
-                        held, size = [], 0
+            now, before = _sequences(batch)
+            held.append(
+                np.unique((sent.value[before] << 32) | sent.value[now], return_counts=True)
+            )
+            size += len(held[-1][0])
+            if size >= HELD_PAIRS:
+                held = [summed(held)]
+                size = len(held[0][0])
+                if 2 * size >= HELD_PAIRS:
+                    yield from told(*held[0])
+                    held, size = [], 0
         if held:
             yield from told(*summed(held))
 
-    pairs = _bodies(documents, text).mapInArrow(work, "a INT, b INT, n BIGINT")
+    pairs = coded.mapInArrow(work, "a INT, b INT, n BIGINT")
     return pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).repartition("a")
 
 
@@ -261,8 +274,8 @@ def _by_class(pairs: DataFrame, unit: str, other: str, side: int, classes: np.nd
     return pairs.mapInArrow(work, "part INT, unit INT, side INT, class INT, n BIGINT")
 
 
-def _exchanger(now: np.ndarray, table: np.ndarray, first: int = END + 1):
-    """One sweep over the units of a part, those below `first` left where they are."""
+def _exchanger(now: np.ndarray, table: np.ndarray):
+    """One sweep over the units of a part."""
     classes = len(table)
 
     def moved(group: pa.Table) -> pa.Table:
@@ -270,7 +283,7 @@ def _exchanger(now: np.ndarray, table: np.ndarray, first: int = END + 1):
         sides = np.zeros((2, len(units), classes))
         side, near = (group.column(c).to_numpy() for c in ("side", "class"))
         np.add.at(sides, (side, at, near), group.column("n").to_numpy())
-        free = units >= first
+        free = units != END
         units, sides = units[free], sides[:, free]
         new = exchange(table, now[units], sides[0], sides[1])
         return pa.table({"unit": units.astype(np.int32), "class": new.astype(np.int32)})
@@ -298,77 +311,86 @@ def cluster(pairs: DataFrame, classes: int = CLASSES, sweeps: int = SWEEPS) -> n
     return now
 
 
-def neighbours_by_class(
-    documents: DataFrame, dictionary: Dictionary, classes: np.ndarray, text: str = "text"
-) -> DataFrame:
-    """(part, unit, side, class, n) of the dictionary's words beyond the first units, as `_by_class`.
+def exchange_words(coded: DataFrame, classes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Classes of the words beyond the first units, each exchanged once from the class it has.
 
-    Here a unit is a word's place beyond those; side 0 counts the classes after it, 1 those before.
+    A task adds up the classes next to each of these words in its texts; the rows of a part of the
+    words meet in one task, which adds them up as they come and then moves the words in turn.
     """
-    sent = documents.sparkSession.sparkContext.broadcast((dictionary, classes))
-    k = int(classes.max()) + 1
-    parts = max(1, -(-len(dictionary.hashes) // PART_UNITS))
+    sent = coded.sparkSession.sparkContext.broadcast((classes, table))
+    k, words = len(table), len(classes) - UNITS
+    parts = max(1, -(-words // PART_UNITS))
 
-    def told(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def told(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys = np.flatnonzero(sums)
         for at in range(0, len(keys), 1 << 16):
             key = keys[at : at + (1 << 16)]
-            unit = key // (2 * k)
-            columns = [unit % parts, unit, key // k % 2, key % k]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c.astype(np.int32)) for c in columns), pa.array(n[at : at + (1 << 16)])],
-                names=["part", "unit", "side", "class", "n"],
+                [
+                    pa.array((key // (2 * k) % parts).astype(np.int32)),
+                    pa.array(key),
+                    pa.array(sums[key]),
+                ],
+                names=["part", "key", "n"],
             )
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionary, classes = sent.value
-        sums = np.zeros(len(dictionary.hashes) * 2 * k, np.int32)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, _ = sent.value
+        sums = np.zeros(words * 2 * k, np.int32)
         for batch in batches:
-            for part in T.chunks(batch, "_body"):
-                found = T.words(part.column("_body"), T.WHITE)
-                units, _ = dictionary.find(found)
-                places, _, begin = sequences(dictionary.beyond(found), found.first)
-                places[begin[1:] - 1] = -1
-                now, before, _ = sequences(units, found.first)
-                of = classes[now]
-                at = np.flatnonzero(places >= 0)  # the end of its text follows, at least
-                key = np.concatenate(
-                    [places[at] * 2 * k + of[at + 1], (places[at] * 2 + 1) * k + classes[before[at]]]
-                )
-                key, n = np.unique(key, return_counts=True)
+            now, before = _sequences(batch)
+            at = np.flatnonzero(now >= UNITS)  # the end of its text follows, at least
+            word = now[at] - UNITS
+            for side, near in ((0, now[at + 1]), (1, before[at])):
+                key, n = np.unique((word * 2 + side) * k + classes[near], return_counts=True)
                 sums[key] += n.astype(np.int32)
-                if len(at) and sums[key].max() > 1 << 30:
-                    some = np.flatnonzero(sums)
-                    yield from told(some, sums[some].astype(np.int64))
-                    sums[:] = 0
-        some = np.flatnonzero(sums)
-        yield from told(some, sums[some].astype(np.int64))
-
-    found = _bodies(documents, text).mapInArrow(
-        work, "part INT, unit INT, side INT, class INT, n BIGINT"
-    )
-    return found.groupBy("part", "unit", "side", "class").agg(F.sum("n").alias("n"))
+            if len(at) and sums.max() > 1 << 30:
+                yield from told(sums)
+                sums[:] = 0
+        yield from told(sums)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, table = sent.value
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            part, key = batch.column("part").to_numpy(), batch.column("key").to_numpy()
+            n = batch.column("n").to_numpy()
+            for p in np.unique(part):
+                mine = part == p
+                if p not in held:
+                    held[p] = np.zeros((-(-words // parts), 2, k))
+                word, rest = np.divmod(key[mine], 2 * k)
+                np.add.at(held[p], (word // parts, rest // k, rest % k), n[mine])
+        for p, sides in held.items():
+            word = np.arange(p, words, parts)
+            sides = sides[: len(word)]
+            new = exchange(table, classes[UNITS + word], sides[:, 0], sides[:, 1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word.astype(np.int32)), pa.array(new.astype(np.int32))], names=["word", "class"]
+            )
 
+    counted = coded.mapInArrow(count, "part INT, key BIGINT, n INT")
+    moved = counted.repartition(parts, "part").mapInArrow(move, "word INT, class INT").toArrow()
+    out = classes[UNITS:].copy()
+    out[moved.column("word").to_numpy()] = moved.column("class").to_numpy()
+    return out
 
-def class_pairs(
-    documents: DataFrame, dictionary: Dictionary, classes: np.ndarray, k: int, text: str = "text"
-) -> np.ndarray:
+
+def class_pairs(coded: DataFrame, classes: np.ndarray, k: int) -> np.ndarray:
     """How often a class follows another in all texts."""
-    sent = documents.sparkSession.sparkContext.broadcast((dictionary, classes))
+    sent = coded.sparkSession.sparkContext.broadcast(classes)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dictionary, classes = sent.value
         sums = np.zeros(k * k, np.int64)
         for batch in batches:
-            for part in T.chunks(batch, "_body"):
-                found = T.words(part.column("_body"), T.WHITE)
-                now, before, _ = sequences(dictionary.find(found)[0], found.first)
-                sums += np.bincount(classes[before] * k + classes[now], minlength=k * k)
+            now, before = _sequences(batch)
+            sums += np.bincount(sent.value[before] * k + sent.value[now], minlength=k * k)
         keys = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.astype(np.int32)), pa.array(sums[keys])], names=["key", "n"]
         )
 
-    return _table(_bodies(documents, text).mapInArrow(work, "key INT, n BIGINT"), k)
+    return _table(coded.mapInArrow(work, "key INT, n BIGINT"), k)
 
 
 def _table(rows: DataFrame, k: int) -> np.ndarray:
@@ -416,23 +438,18 @@ def fit(
     units[:own] = 1 + np.arange(own)
     order = np.argsort(hashed)
     counts = top.column("n").to_numpy()
-    places = np.where(np.arange(len(hashed)) < own, -1, np.arange(len(hashed)) - own)
-    dictionary = Dictionary(hashed[order], counts[order], units[order], places[order])
+    first = np.concatenate([np.arange(UNITS), units[own:]])  # further words are counted by ending
+    units[own:] = UNITS + np.arange(len(hashed) - own)
+    dictionary = Dictionary(hashed[order], counts[order], units[order])
 
-    pairs = stage(count_pairs(documents, dictionary, text), "pairs")
+    coded = stage(code_texts(documents, dictionary, text), "coded")
+    pairs = stage(count_pairs(coded, first), "pairs")
     assigned = cluster(pairs, classes, sweeps)
     table = transition_counts(pairs, assigned, classes)
-    if len(hashed) > own:  # the further words, each from the class of its ending
-        near = neighbours_by_class(documents, dictionary, assigned, text)
-        of_words = assigned[units[own:]]
-        moved = near.groupBy("part").applyInArrow(
-            _exchanger(of_words, table, first=0), "unit INT, class INT"
-        ).toArrow()
-        of_words[moved.column("unit").to_numpy()] = moved.column("class").to_numpy()
+    if len(hashed) > own:
+        of_words = exchange_words(coded, assigned[first], table)
         assigned = np.concatenate([assigned, of_words])
-        units[own:] = UNITS + np.arange(len(hashed) - own)
-        dictionary = Dictionary(hashed[order], counts[order], units[order], places[order])
-        table = class_pairs(documents, dictionary, assigned, classes, text)
+        table = class_pairs(coded, assigned, classes)
 
     # counts of units, and of tokens and types that belong to each ending
     ending_types, ending_tokens = _by_ending(vocabulary, top)
