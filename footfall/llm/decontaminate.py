@@ -165,9 +165,11 @@ def find_benchmark(
     rows map to rows. Several blocks are put together by (row, digest of the text).
 
     A null text has no words. Items without words are left out; the words of an item with a null id
-    are hit like any others, but it is not listed. Equal windows count for all items that have them. Repeated rows are judged each on its own. Without documents
-    the result is empty; without a benchmark nothing is hit.
+    are hit like any others, but it is not listed. Equal windows count for all items that have them.
+    Repeated rows are judged each on its own. Without documents the result is empty; without a
+    benchmark nothing is hit. A column of `keep` may not have the name of another one of the result.
     """
+    T.no_clash(keep, ["doc_id", "_body", "_digest", "n_words", "n_hit", "hit_words", "items"])
     spark = documents.sparkSession
     pieces = stage(windows(benchmark, item_id, item_text, window), "windows")
     distinct = pieces.agg(F.count_distinct("words")).first()[0]

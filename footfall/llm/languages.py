@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm import text as T
@@ -23,12 +23,17 @@ BUCKETS = 1 << 13
 ROWS = 512
 #: Numbers held at once for trigrams by languages.
 CELLS = 1 << 22
-MOST_LANGUAGES = 1000
 SMOOTHING = 0.5
 ROUNDS = 15
 #: Log likelihood a further language must add, for each trigram of the text (natural log).
 PENALTY = 0.02
 UNKNOWN = "und"
+#: Log likelihood of a trigram if all buckets are equally likely.
+CHANCE = -float(np.log(BUCKETS))
+#: Part of what held-out text of a language gains over chance that a text in it must gain.
+LEAST_GAIN = 0.25
+#: Standard errors of a text's mean that are allowed for, so that short texts are not judged hastily.
+ERRORS = 3.0
 
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -118,10 +123,7 @@ def learn(
     per_language = rows.groupBy("lang").agg(
         F.collect_list(F.struct("bucket", "n")).alias("counts")
     )
-    found = per_language.limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    found.sort(key=lambda r: r.lang)
+    found = sorted(per_language.collect(), key=lambda r: r.lang)
     table = np.full((BUCKETS, max(1, len(found))), SMOOTHING)
     for k, row in enumerate(found):
         for bucket, n in row.counts:
@@ -200,15 +202,20 @@ def identify(
     penalty: float = PENALTY,
     set_size: int | None = None,
     keep: tuple[str, ...] = (),
+    fit: bool = False,
 ) -> DataFrame:
     """One row per row of documents: doc_id, the columns of `keep`, lang_pred, score, languages and
-    their proportions.
+    their proportions, and with `fit` also fit and fit_error.
 
-    score is the prediction's proportion among all languages. A null text, one without a letter, or
+    fit is the mean log likelihood of the text's trigrams under its set, and fit_error its standard
+    error; both are null for `und`. The columns
+    of `keep` may not have the name of another column of the result. score is the prediction's proportion among all languages. A null text, one without a letter, or
     any text under a model without languages is `und` with score 0 and no languages. Ties between
     languages go to the first by name. Repeated rows are judged each on its own; no documents give
     no rows. Rows map to rows: no shuffle; the model is a bounded table.
     """
+    told = ["lang_pred", "score", "languages", "proportions", *(["fit", "fit_error"] if fit else [])]
+    T.no_clash(keep, ["doc_id", "_body", "_letter", *told])
     spark = documents.sparkSession
     sent = spark.sparkContext.broadcast(model)
     chosen = documents.select(
@@ -226,6 +233,8 @@ def identify(
             pred, score = [UNKNOWN] * n_rows, np.zeros(n_rows)
             sets: list[list[str]] = [[] for _ in range(n_rows)]
             shares: list[list[float]] = [[] for _ in range(n_rows)]
+            fits: list[float | None] = [None] * n_rows
+            errors: list[float | None] = [None] * n_rows
             owner, bucket, n = counts(rows.column("_body"))
             letters = rows.column("_letter").to_numpy(zero_copy_only=False)
             use = letters[owner] & bool(languages)
@@ -246,6 +255,10 @@ def identify(
                     pred[d], score[d] = languages[k], min(1.0, f[k])
                     mine = sorted(np.flatnonzero(b > 0), key=lambda x, b=b: (-b[x], x))
                     sets[d], shares[d] = [languages[x] for x in mine], [float(b[x]) for x in mine]
+                if fit:
+                    means = mean_fit(log_table[bucket[lo:hi]], n[lo:hi], firsts[at:to] - lo, best)
+                    for d, mean, error in zip(owner[firsts[at:to]], *means, strict=True):
+                        fits[d], errors[d] = float(mean), float(error)
                 at = to
             yield pa.RecordBatch.from_arrays(
                 [
@@ -254,8 +267,9 @@ def identify(
                     pa.array(score, pa.float64()),
                     pa.array(sets, pa.list_(pa.string())),
                     pa.array(shares, pa.list_(pa.float64())),
+                    *((pa.array(x, pa.float64()) for x in (fits, errors)) if fit else ()),
                 ],
-                names=[*names, "lang_pred", "score", "languages", "proportions"],
+                names=[*names, *told],
             )
 
     return chosen.mapInArrow(
@@ -263,7 +277,75 @@ def identify(
         T.schema(
             chosen,
             names,
-            "lang_pred STRING, score DOUBLE, languages ARRAY<STRING>, proportions ARRAY<DOUBLE>",
+            "lang_pred STRING, score DOUBLE, languages ARRAY<STRING>, proportions ARRAY<DOUBLE>"
+            + (", fit DOUBLE, fit_error DOUBLE" if fit else ""),
         ),
     )
 
+
+def mean_fit(
+    log_likely: np.ndarray, n: np.ndarray, starts: np.ndarray, best: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Mean log likelihood of each text's trigrams under the proportions of its set, and its error.
+
+    The error takes the trigrams to spread by one unit at least, so that texts of a few have one.
+    """
+    sizes, total = np.diff(np.append(starts, len(n))), np.add.reduceat(n, starts)
+    each = np.log(np.einsum("ij,ij->i", np.exp(log_likely), np.repeat(best, sizes, axis=0)))
+    mean = np.add.reduceat(n * each, starts) / total
+    square = np.add.reduceat(n * (each - np.repeat(mean, sizes)) ** 2, starts) / total
+    return mean, np.sqrt(np.maximum(square, 1) / total)
+
+
+def least_fits(
+    held_out: DataFrame,
+    model: tuple[list[str], np.ndarray],
+    text: str = "text",
+    lang: str = "lang",
+    gain: float = LEAST_GAIN,
+) -> dict[str, float]:
+    """For each language of the model, the fit below which a text is in no learned language.
+
+    It lies above chance by a part of what held-out texts of the language gain on average. A
+    language without such texts takes the mean of all; without any at all the bound is chance.
+    Counts every row that has a text and a language of the model; the result has a number for each.
+    """
+    languages = model[0]
+    known = held_out.where(F.col(lang).cast("string").isin(languages) & F.col(text).isNotNull())
+    scored = identify(
+        known.select(
+            F.lit(None).cast("int").alias("doc_id"),
+            F.col(text).alias("text"),
+            F.col(lang).cast("string").alias("lang"),
+        ),
+        model,
+        keep=("lang",),
+        fit=True,
+    ).where("fit is not null")
+    found = {
+        r.lang: (r.fits, r.texts)
+        for r in scored.groupBy("lang")
+        .agg(F.sum("fit").alias("fits"), F.count(F.lit(1)).alias("texts"))
+        .collect()
+    }
+    fits, texts = (sum(v[k] for v in found.values()) for k in (0, 1))
+    usual = fits / texts if texts else CHANCE
+
+    def least(name: str) -> float:
+        mean = found[name][0] / found[name][1] if name in found else usual
+        return CHANCE + gain * max(0.0, mean - CHANCE)
+
+    return {name: least(name) for name in languages}
+
+
+def in_a_learned_language(least: dict[str, float], errors: float = ERRORS) -> Column:
+    """Whether a row of `identify(..., fit=True)` has a language and does not surely miss its bound.
+
+    Trigrams share buckets, so a text of very few different ones may pass by chance.
+    """
+    if not least:
+        return F.lit(False)
+    bound = F.create_map(*(F.lit(x) for pair in sorted(least.items()) for x in pair))
+    reached = F.col("fit") + errors * F.col("fit_error")
+    return F.coalesce(reached >= F.element_at(bound, F.col("lang_pred")), F.lit(False))
+

@@ -234,8 +234,10 @@ def score_documents(
     Every text is compared with all labelled vectors of the model, whose number is bounded when it
     is fitted. A null or empty text has no vector and gets the share of label 1 among the labelled.
     Equal similarities at the edge of the neighbourhood fall either way. Repeated rows are scored
-    each on its own; no documents give no rows. Rows map to rows: no shuffle.
+    each on its own; no documents give no rows. Rows map to rows: no shuffle. A column of `keep` may
+    not have the name of another one of the result.
     """
+    T.no_clash(keep, ["doc_id", "_body", "score"])
     sent = documents.sparkSession.sparkContext.broadcast(model)
     chosen = documents.select(
         F.col(doc_id).alias("doc_id"), *keep, F.col(text).cast("string").alias("_body")

@@ -174,3 +174,11 @@ def schema(df: DataFrame, names: list[str], more: str) -> StructType:
     """The named columns of df as they are, then further ones."""
     own = {f.name: f for f in df.schema}
     return StructType([*(own[n] for n in names), *StructType.fromDDL(more)])
+
+
+def no_clash(keep: tuple[str, ...], taken: list[str]) -> None:
+    """Raise if a column to keep has the name of another column of the result, or twice its own."""
+    names = [*(k.lower() for k in keep), *(t.lower() for t in taken)]
+    bad = sorted({k for k in keep if names.count(k.lower()) > 1})
+    if bad:
+        raise ValueError(f"columns to keep that clash with others of the result: {', '.join(bad)}")

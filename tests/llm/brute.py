@@ -6,8 +6,11 @@ import hashlib
 import re
 import zlib
 
+import pyarrow as pa
 import xxhash
 
+from footfall.llm import quality
+
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -102,3 +105,18 @@ def token_ids(documents: list[tuple], tokenizer_path: str) -> list[tuple]:
         out.append((doc, start, len(ids), zlib.crc32(raw)))
         start += len(ids)
     return out
+
+
+def votes(model, texts: list[str]) -> list[float]:
+    """Quality scores from the model's vectors, one text and one neighbour at a time."""
+    out = []
+    for text in texts:
+        place = model.place(quality.rows_of_terms(pa.array([text])))[0].astype(float)
+        near = []
+        for k, vector in enumerate(model.vectors.astype(float)):
+            near.append((-sum(x * y for x, y in zip(place, vector, strict=True)), k))
+        near = sorted(near)[: quality.NEIGHBOURS]
+        weights = [max(-c, 1e-6) ** quality.SHARPNESS for c, _ in near]
+        good = sum(w for w, (_, k) in zip(weights, near, strict=True) if model.labels[k])
+        out.append(good / sum(weights))
+    return out

@@ -638,6 +638,75 @@ def test_texts_in_many_languages(llm):
         assert len(r.languages) <= 3
 
 
+def made_text(random, letters, words=80):
+    return " ".join("".join(random.choice(list(letters), 5)) for _ in range(words))
+
+
+def test_texts_in_no_learned_language_miss_its_bound(llm):
+    random = np.random.default_rng(15)
+    kinds = {"aa": "abcdef", "bb": "ghijkl", "cc": "äöümno"}
+    learned = [(k, made_text(random, v)) for k, v in kinds.items() for _ in range(60)]
+    learned += [("cc", None), (None, "abc")]
+    model = languages.learn(llm.createDataFrame(learned, "lang STRING, text STRING"))
+    held = [(k, made_text(random, kinds[k])) for k in ("aa", "bb") for _ in range(15)]
+    held += [("zz", "not learned"), (None, "abc"), ("aa", None), ("bb", "...")]
+    least = languages.least_fits(llm.createDataFrame(held, "lang STRING, text STRING"), model)
+    assert sorted(least) == ["aa", "bb", "cc"]
+    assert languages.CHANCE < least["cc"] < 0  # the mean of all, as none was held out
+    good = {
+        1: made_text(random, kinds["aa"]),
+        2: made_text(random, kinds["aa"], 30) + " " + made_text(random, kinds["bb"], 30),
+        3: made_text(random, kinds["cc"], 1),
+        4: made_text(random, kinds["bb"], 40) + " " + made_text(random, "qrstuvwxyz", 8),
+        5: made_text(random, kinds["aa"], 20_000),
+    }
+    bad = {
+        11: made_text(random, "pqrstuv"),
+        12: made_text(random, "abcdefghijklmnopqrstuvwxyz"),
+        13: made_text(random, "жзийлпфцчш"),
+        14: made_text(random, kinds["aa"], 2) + " " + made_text(random, "wxyzpq", 60),
+        15: None,
+        16: "",
+        17: "123 ...",
+    }
+    docs = llm.createDataFrame(list((good | bad).items()), "doc_id INT, text STRING")
+    found = languages.identify(docs, model, fit=True)
+    inside = languages.in_a_learned_language(least)
+    assert {r.doc_id for r in found.where(inside).collect()} == set(good)
+    assert {r.doc_id for r in found.where("fit is null").collect()} == {15, 16, 17}
+    assert found.where(languages.in_a_learned_language({})).count() == 0
+    # without held-out texts the bound is chance
+    nothing = llm.createDataFrame([], "lang STRING, text STRING")
+    assert set(languages.least_fits(nothing, model).values()) == {languages.CHANCE}
+
+
+def test_columns_to_keep_may_not_clash(llm, odd, corpus):
+    benchmark = llm.createDataFrame(BENCHMARK, "item_id BIGINT, text STRING")
+    model = languages.learn(corpus)
+    voted = quality.fit(corpus.drop("quality"), corpus.select("doc_id", "quality"))
+    for run in (
+        lambda: languages.identify(odd, model, keep=("score",)),
+        lambda: languages.identify(odd, model, keep=("_BODY",)),
+        lambda: quality.score_documents(odd, voted, keep=("Score",)),
+        lambda: quality.score_documents(odd, voted, keep=("number", "number")),
+        lambda: decontaminate.find_benchmark(odd.withColumn("items", F.lit(1)), benchmark, keep=("items",)),
+    ):
+        with pytest.raises(ValueError, match="clash"):
+            run()
+
+
+def test_votes_match_a_plain_count(llm, corpus):
+    """The score of a vector is the weighted vote of its nearest labelled ones, whatever the block."""
+    labels = corpus.select("doc_id", "quality")
+    model = quality.fit(corpus.drop("quality"), labels)
+    texts = [r.text for r in corpus.orderBy("doc_id").limit(40).collect()]
+    got = quality.score_documents(
+        llm.createDataFrame(list(enumerate(texts)), "doc_id INT, text STRING"), model
+    ).orderBy("doc_id")
+    wanted = brute.votes(model, texts)
+    assert [r.score for r in got.collect()] == pytest.approx(wanted, abs=1e-5)
+
+
 def test_quality_sample_is_of_labels_with_texts(llm, corpus):
     labels = corpus.select("doc_id", "quality")
     strange = llm.range(10_000, 12_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))

@@ -42,3 +42,17 @@ def test_run_matches_the_stages(llm, documents):
         rows = work(llm, rows, SMALL)
     got = {(r.doc_id, r.n_tokens) for r in pipeline.run(llm, SMALL).collect()}
     assert got == {(r.doc_id, r.n_tokens) for r in rows.collect()}
+
+
+def test_language_stage_drops_noise_and_keeps_clean_texts(llm, documents):
+    strange = [
+        (10_000_001, "zqxj vkwq jjxz qqkv xwzj kqvx zzjq wvxk qjzx vkqw xjqz " * 5),
+        (10_000_002, "Съешь же ещё этих мягких французских булок да выпей чаю " * 5),
+        (10_000_003, "... 123 ..."),
+        (10_000_004, None),
+    ]
+    added = llm.createDataFrame(strange, "doc_id BIGINT, text STRING")
+    rows = documents.unionByName(added, allowMissingColumns=True)
+    kept = dict(pipeline.STAGES)["language ID"](llm, rows, SMALL)
+    clean = {r.doc_id for r in documents.where(r"text rlike '\\p{L}'").collect()}
+    assert {r.doc_id for r in kept.collect()} == clean
