@@ -15,7 +15,7 @@ from footfall.functions.channels import channel
 from footfall.functions.keys import uuid_key
 from footfall.operators import dims, funnel, quality, reports, sessions, staging, traffic
 from footfall.operators.pageviews import fct_page_views
-from footfall.plans import models, warehouse
+from footfall.plans import late, models, warehouse
 from footfall.plans.checks import CHECKS
 from footfall.plans.models import marts
 from footfall.session import configure, scratch_path, stage
@@ -238,6 +238,17 @@ def sessionize_gap_30_minutes(spark: SparkSession, d: str) -> DataFrame:
     return sessions.bridge(_ses(spark, d, schema.SESSION_TIMEOUT_MINUTES))
 
 
+def late_events_recut(spark: SparkSession, d: str) -> DataFrame:
+    """Stored sessions to which the events of one country come late; only touched ones are cut again."""
+    _databases(spark)
+    name = f"stg.late_{uuid.uuid4().hex}"
+    events = _stg(spark, d)
+    behind = F.coalesce(F.col("country") == "JP", F.lit(False))
+    late.store_sessions(events.where(~behind), name, DAY)
+    late.add_events(events.where(behind), name, DAY)
+    return sessions.bridge(spark.table(name))
+
+
 def bridge_join(spark: SparkSession, d: str) -> DataFrame:
     joined = sessions.bridge_join(_stg(spark, d), sessions.bridge(_ses(spark, d)))
     return joined.select(
@@ -453,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "event_name_counts": event_name_counts,
     "sessionize_gap": sessionize_gap,
     "sessionize_gap_30_minutes": sessionize_gap_30_minutes,
+    "late_events_recut": late_events_recut,
     "bridge_join": bridge_join,
     "fct_sessions": _sessions,
     "fct_page_views": page_views,

@@ -412,6 +412,7 @@ def oracle_sql() -> dict[str, str]:
         # sessions
         "sessionize_gap": _plain(BRIDGE, "ses"),
         "sessionize_gap_30_minutes": _plain(BRIDGE, "ses30"),
+        "late_events_recut": _plain(BRIDGE, "ses"),
         "bridge_join": _plain(
             f"{EVENT}, session_id, session_started_at, event_seq_in_session, page_path", "ses"),
         "fct_sessions": _plain(MONEY, "sessions"),
