@@ -204,6 +204,28 @@ def _given(text: Column, type_: Column) -> Column:
     return text.isNotNull() & ~empty
 
 
+def _number(text: Column, type_: Column) -> Column:
+    """A JSON number for a reason: with a fraction or exponent as a float (-8.00 is -8.0), else as it is.
+
+    A whole number outside the 64-bit range is taken for an integer.
+    """
+    number = text.try_cast("double")
+    size = F.abs(number)
+    whole = type_.rlike(r"^BIGINT|^DECIMAL\(\d+,0\)") & (
+        (type_ == "BIGINT") | text.try_cast("bigint").isNull()
+    )
+    digits = number.cast("string").try_cast("decimal(38,21)").cast("string")
+    fixed = F.regexp_replace(digits, r"(\.\d+?)0*$", "$1")
+    scientific = F.replace(number.cast("string"), F.lit("Infinity"), F.lit("inf"))
+    for pattern, written in ((r"(\.0)?E(-?)", "e$2"), (r"e(\d)", "e+$1"), (r"([+-])(\d)$", "$10$2")):
+        scientific = F.regexp_replace(scientific, pattern, written)
+    return (
+        F.when(whole, text)
+        .when((size == 0) | ((size >= 1e-4) & (size < 1e16)), fixed)
+        .otherwise(scientific)
+    )
+
+
 def _first_failure(f: Column) -> Column:
     def missing(column: str) -> Column:
         return f[column].isNull() | is_blank(f[column])
@@ -219,6 +241,7 @@ def _first_failure(f: Column) -> Column:
     shown = (
         F.when(f["revenue"].isNull(), "None")
         .when(f["revenue_type"] == "STRING", quoted(f["revenue"]))
+        .when(is_number, _number(f["revenue"], f["revenue_type"]))
         .otherwise(f["revenue"])
     )
     # The reason texts.

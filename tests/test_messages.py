@@ -237,3 +237,14 @@ def test_json_lines_round_trip(spark, tmp_path):
     found = validate_events(read_json_lines(spark, path))
     assert found.where(F.col("error").isNull()).count() == 2
     assert found.where(F.col("error").isNotNull()).count() == 1
+
+
+def test_reason_shows_a_float_as_one(spark):
+    texts = ["-8.00", "-75.50", "-8", "-1e3", "-0.0001", "-0.00001", "-12345678.25", "-1.5E+20", "-1e16"]
+    texts += ["-9007199254740991.0", "-12345678901234567890", "-123456789.123456789123", "-2.5e-7"]
+    sent = purchase(order_id="o", revenue_usd=-5)
+    assert sent.count(b"-5") == 1
+    values = [sent.replace(b"-5", t.encode()) for t in texts]
+    found = validate_events(log(spark, values)).orderBy("kafka_offset").collect()
+    shown = [r.error.rsplit(" ", 1)[1] for r in found]
+    assert shown == [repr(json.loads(t)) for t in texts]
