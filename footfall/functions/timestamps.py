@@ -35,8 +35,13 @@ WEEK_DATE = r"^(\d{4})(-?)W(\d\d)(?:\2([1-7]))?"
 
 
 def strip(text: Column) -> Column:
-    """Without leading and trailing white space, Unicode's included."""
-    return F.regexp_replace(text, f"^{SPACES}+|{SPACES}+$", "")
+    """Without leading and trailing white space, Unicode's included.
+
+    The text is searched only if its first or last character is a space.
+    """
+    edges = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    stripped = F.regexp_replace(text, f"^{SPACES}+|{SPACES}+$", "")
+    return F.when(edges.rlike(SPACES), stripped).otherwise(text)
 
 
 def is_blank(text: Column) -> Column:

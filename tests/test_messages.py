@@ -248,3 +248,13 @@ def test_reason_shows_a_float_as_one(spark):
     found = validate_events(log(spark, values)).orderBy("kafka_offset").collect()
     shown = [r.error.rsplit(" ", 1)[1] for r in found]
     assert shown == [repr(json.loads(t)) for t in texts]
+
+
+def test_long_methods_are_left_and_only_texts_with_blank_edges_searched(spark):
+    from footfall.functions.timestamps import strip
+
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    texts = ["", " ", "a b", " a b\u2003", "\x85a\n", "a", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING").select("t", strip(F.col("t")).alias("s"))
+    assert [r.s for r in df.collect()] == ["", "", "a b", "a b", "a", "a", None]
+    assert "CASE WHEN" in spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
