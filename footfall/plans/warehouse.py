@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall import schema
+from footfall.session import stage
 
 
 def create_databases(spark: SparkSession, root: str | None = None) -> None:
@@ -101,13 +102,17 @@ def remove_former(spark: SparkSession, name: str) -> int:
 def one_per_key(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """The first row of each key by `order`, or by a hash of the row; rows with a null key all stay.
 
-    Only keys that occur more than once are sorted or moved.
+    Keys that occur more than once are found first, from the keys alone; where there are none, as is
+    usual, no row is moved. Otherwise only theirs are sorted.
     """
     order = order or []
     whole = ~F.lit(False)
     for k in keys:
         whole &= F.col(k).isNotNull()
     repeated = df.where(whole).groupBy(keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    repeated = stage(repeated, "repeated_keys")
+    if repeated.isEmpty():
+        return df
     rank = F.struct(*order, F.xxhash64(*df.columns))
     rest = [c for c in df.columns if c not in keys]
     first = (
@@ -173,12 +178,13 @@ def upsert(
 
     slice_name, gone_name, build = (f"{name}__{what}" for what in ("slice", "gone", "merged"))
     rows = materialize_table(df, slice_name)
-    others = df.limit(0) if gone is None else gone.select(*df.columns)
+    # of what goes, only the keys and where they stand
+    others = (df.limit(0) if gone is None else gone).select(*dict.fromkeys([*keys, *(parts or [])]))
     removed = materialize_table(others, gone_name)
     if rows or removed:
         slice_, others, target = (spark.table(t) for t in (slice_name, gone_name, name))
         touched = target if partition is None else touched_partitions(
-            target, slice_.union(others), partition
+            target, slice_.select(partition).union(others.select(partition)), partition
         )
         result = merged(touched.join(others.select(*keys), keys, "left_anti"), slice_, keys, order)
         if partition is None:

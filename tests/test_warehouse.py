@@ -225,3 +225,12 @@ def test_totals_beyond_ten_billion(spark):
     row = daily_traffic(sessions).first()
     assert str(row.revenue_usd) == "2700000000003.00"
     assert str(row.avg_order_value_usd) == "9000000000.01"
+
+
+def test_unique_rows_are_not_moved(spark):
+    from plans import physical
+
+    rows = spark.range(100).selectExpr("id AS k", "id * 2 AS v")
+    assert not any("Exchange" in line for line in physical(warehouse.one_per_key(rows, ["k"])))
+    twice = warehouse.one_per_key(rows.union(rows), ["k"])
+    assert sorted(map(tuple, twice.collect())) == [(i, 2 * i) for i in range(100)]
