@@ -43,5 +43,5 @@ def add_events(
         touched.select("session_id"), "session_id", "left_semi"
     )
     old = stage(old.select(*stored.columns), "touched_events")
-    rows = stage(late.recut(old, fresh, timeout_minutes).select(*stored.columns), "recut_events")
+    rows = late.recut(old, fresh, timeout_minutes).select(*stored.columns)  # the upsert stores them
     return warehouse.upsert(rows, name, ["event_id"], partition=late.SESSION_DATE, gone=old)
